@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailweir.functions.text import code_points, keywords, size_or_zero
+from mailweir.operators.combine import known_hits
 from mailweir.operators.order import top_k
 
 
@@ -96,7 +96,7 @@ def load_stats(incoming: DataFrame, stored: DataFrame, key: str = "id") -> DataF
     an id cannot be stored and have failed.
     """
     counted = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    known = stored.select(key, F.lit(1).alias("_known")).distinct()
+    known = known_hits(incoming, stored, key).withColumn("_known", F.lit(1))
     per_id = counted.join(known, key, "left")
     valid, new = F.col(key).isNotNull(), F.col("_known").isNull()
     sum_if = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0))
@@ -184,10 +184,3 @@ def top_themes(mail: DataFrame, themes: Column, k: int = 10) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return top_k(counts, k, "n", F.col("theme").asc())
-
-
-def utc(moment: dt.datetime) -> Column:
-    """A literal instant."""
-    if moment.tzinfo is None:
-        moment = moment.replace(tzinfo=dt.timezone.utc)
-    return F.timestamp_seconds(F.lit(int(moment.timestamp())))
