@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailweir.functions.binding import compute_once
 from mailweir.functions.patterns import SPACE_CHARS, SPACE_CLASS
 
 # The zone names a header may use, and their offsets in minutes.
@@ -109,7 +110,7 @@ def with_mail_date(df: DataFrame, header: str = "date") -> DataFrame:
     )
     valid = offset.isNotNull() & local.isNotNull()
     names = df.columns
-    return (
+    steps = (
         df.select("*", main.alias("_main"), comment.alias("_comment"))
         .select(*names, "_comment", fields.alias("_fields"))
         .select(
@@ -125,13 +126,16 @@ def with_mail_date(df: DataFrame, header: str = "date") -> DataFrame:
             _offset_seconds(F.col("_zone"), F.col("_comment")).alias("_offset"),
             F.when((month > 0) & (year >= 1), midnight + clock).alias("_local"),
         )
-        .select(
-            *names,
-            F.when(valid, F.timestamp_seconds(local - offset)).alias("parsed_ts"),
-            F.when(valid, F.floor(offset / 60).cast("int")).alias("tz_offset_min"),
-            F.when(valid, iso).alias("parsed_iso"),
-        )
     )
+    dated = compute_once(
+        steps,
+        {
+            "parsed_ts": F.when(valid, F.timestamp_seconds(local - offset)),
+            "tz_offset_min": F.when(valid, F.floor(offset / 60).cast("int")),
+            "parsed_iso": F.when(valid, iso),
+        },
+    )
+    return dated.select(*names, "parsed_ts", "tz_offset_min", "parsed_iso")
 
 
 def iso_instant(iso: Column) -> Column:

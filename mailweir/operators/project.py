@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailweir.functions.binding import compute_once
 from mailweir.functions.dates import with_mail_date
 from mailweir.functions.text import decode_and_extract
 
@@ -35,17 +36,22 @@ def pick_body(payload: Column) -> Column:
     )
 
 
-def scan_headers(raw: DataFrame) -> DataFrame:
-    """Add sender, subject and the parsed date: all that screening needs, no body work."""
+def named_headers(raw: DataFrame) -> DataFrame:
+    """Add sender, subject and the date as written."""
     headers = F.col("payload.headers")
-    named = raw.withColumns(
+    return compute_once(
+        raw,
         {
             "from": first_header(headers, "From"),
             "date": first_header(headers, "Date"),
             "subject": first_header(headers, "Subject"),
-        }
+        },
     )
-    return with_mail_date(named, "date")
+
+
+def scan_headers(raw: DataFrame) -> DataFrame:
+    """Add sender, subject and the parsed date: all that screening needs, no body work."""
+    return with_mail_date(named_headers(raw), "date")
 
 
 def to_mail(scanned: DataFrame, *extra: str) -> DataFrame:

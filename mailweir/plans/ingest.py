@@ -10,11 +10,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailweir.functions.dates import with_mail_date
 from mailweir.operators.increment import plan_increment
 from mailweir.operators.profile import run_stats
-from mailweir.operators.project import scan_headers, to_mail
-from mailweir.operators.screen import cutoff, outcome, sender_allow
-from mailweir.sources.load import LoadStats, load_insert_only
+from mailweir.operators.project import named_headers, scan_headers, to_mail
+from mailweir.operators.screen import as_instant, cutoff, outcome, sender_allow
+from mailweir.session import stage
+from mailweir.sources.load import LoadStats, append_new
 from mailweir.sources.runlog import log_rows, write_run_log, write_run_stats
 from mailweir.sources.snapshots import snapshot
 from mailweir.sources.tables import read_mail
@@ -23,21 +25,26 @@ from mailweir.sources.tables import read_mail
 def screened_mail(
     raw: DataFrame, moment: dt.datetime | str, allow: DataFrame | Sequence[str], *extra: str
 ) -> DataFrame:
-    """Mail records of the messages that pass cutoff and allowlist.
+    """Mail records of the messages that pass allowlist and cutoff.
 
-    Screening needs the headers only, so bodies are decoded for what is kept and
-    nothing is shuffled up to here.
+    Cheapest test first: senders are compared before dates are parsed, and bodies
+    are decoded for what is kept. Nothing is shuffled up to here.
     """
-    return to_mail(sender_allow(cutoff(scan_headers(raw), moment), allow), *extra)
+    allowed = sender_allow(named_headers(raw), allow)
+    return to_mail(cutoff(with_mail_date(allowed, "date"), moment), *extra)
 
 
 def scan_outcomes(
     raw: DataFrame, known: DataFrame, moment: dt.datetime | str,
     allow: DataFrame | Sequence[str], pos: str = "pos",
 ) -> DataFrame:
-    """The outcome of every scanned message; bodies are not read."""
-    scanned = scan_headers(raw).select(
-        "id", pos, "from", "subject", "parsed_ts", "parsed_iso"
+    """The outcome of every scanned message; bodies are not read.
+
+    Telling copies apart looks at the scan several times, so its few columns are
+    staged: the raw messages are read and their headers parsed once.
+    """
+    scanned = stage(
+        scan_headers(raw).select("id", pos, "from", "subject", "parsed_ts", "parsed_iso"), "scan"
     )
     return outcome(scanned, known, moment, allow, pos)
 
@@ -64,19 +71,24 @@ def run_ingest(
     run_id = run_id or uuid.uuid4().hex
     started = dt.datetime.now(dt.timezone.utc)
     stored = read_mail(spark, paths.table)
+    before = stored.count()
     plan = plan_increment(stored, moment).first()
-    # The log is written before the load: afterwards every message would be known.
-    write_run_log(log_rows(scan_outcomes(raw, stored, moment, allow, pos), run_id), paths.run_log)
+    outcomes = stage(scan_outcomes(raw, stored, moment, allow, pos), "outcomes")
+    write_run_log(log_rows(outcomes, run_id), paths.run_log)
     snapshot(spark, paths.table, paths.snapshots, started)
-    before = stored.count()
-    stats = load_insert_only(screened_mail(raw, moment, allow, pos), paths.table, (pos,))
-    logged = spark.read.parquet(paths.run_log).filter(F.col("run_id") == run_id)
-    summary = run_stats(logged.withColumn("outcome", F.col("status"))).select(
+
+    # The outcomes name every message to be stored, one per id. A short list of them is
+    # broadcast, so that no body is shuffled; a long one meets the bodies on unique keys.
+    kept = outcomes.filter(F.col("outcome") == "success").select("id", pos)
+    offered = screened_mail(raw, moment, allow, pos)
+    stats = append_new(offered.join(kept, ["id", pos], "left_semi"), paths.table, kept.count())
+
+    summary = run_stats(outcomes).select(
         "*",
         F.lit(run_id).alias("run_id"),
         F.lit(started).alias("start_time"),
         F.current_timestamp().alias("end_time"),
-        F.lit(str(moment)).try_cast("timestamp").alias("cutoff_date"),
+        as_instant(moment).alias("cutoff_date"),
         F.lit(plan["earliest"]).cast("timestamp").alias("existing_earliest"),
         F.lit(plan["latest"]).cast("timestamp").alias("existing_latest"),
         F.lit(plan["direction"]).alias("direction"),

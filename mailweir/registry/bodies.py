@@ -8,7 +8,7 @@ from mailweir.functions import encoding, html, text
 from mailweir.functions import patterns as P
 from mailweir.operators.project import pick_body, scan_headers, to_mail
 from mailweir.registry import derive as D
-from mailweir.registry.derive import over_mail, over_scan
+from mailweir.registry.derive import READABLE_SQL, over_mail, over_scan
 from mailweir.registry.profiling import body_sql
 
 
@@ -140,11 +140,11 @@ _DATA = "translate(to_base64(encode({0})), '+/', '-_')"
 
 ORACLE = {
     "pick_bodies": over_mail(
-        f"SELECT pos, CASE WHEN content <> '' THEN {_DATA.format('content')} END AS data FROM mail"
+        f"SELECT pos, CASE WHEN {READABLE_SQL} <> '' THEN {_DATA.format(READABLE_SQL)} END AS data FROM mail"
     ),
     "decode_body": over_mail(
         f"""SELECT pos, decode(from_base64(translate(data, '-_', '+/'))) AS text FROM (
-  SELECT pos, {_DATA.format('content')} AS data FROM mail WHERE content IS NOT NULL)"""
+  SELECT pos, {_DATA.format(READABLE_SQL)} AS data FROM mail WHERE {READABLE_SQL} IS NOT NULL)"""
     ),
     "transfer_decode": "SELECT doc_id, text FROM documents",
     "html_unescape": f"SELECT page_id, {_unescape_sql('html')} AS text FROM pages",
@@ -164,7 +164,7 @@ ORACLE = {
     "lengths": "SELECT doc_id, n_chars AS length FROM documents",
     "to_mail_plain": over_scan(
         f"""SELECT pos, id, thread, sender, subject, iso AS parsed_iso, 'success' AS status, source AS snippet, upper(lang) AS labels, {_SHOWN} FROM bodies""",
-        body_sql("scanned", "content", "pos, id, thread, sender, subject, iso, lang, source"),
+        body_sql("scanned", READABLE_SQL, "pos, id, thread, sender, subject, iso, lang, source"),
     ),
     "to_mail_html": "WITH " + ",\n".join((
         _PAGES, body_sql("page_text", "text", "pos, url, html"),

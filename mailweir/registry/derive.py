@@ -17,13 +17,15 @@ CUTOFF = "2024-11-14T00:00:00+00:00"
 ALLOW = ("src1@", "src7@", "SRC9@", "@de.")
 #: The zone a message's date is written in, by its length.
 ZONES = (" +0000", " -0500 (EST)", " GMT", " EDT", " XYZ (PST)", " 0530", " MST", "")
-RULES = (
-    ("german", r"\b(der|die|das|und)\b"),
-    ("french", r"\b(le|la|les|une)\b"),
-    ("english", r"\b(the|and|of)\b"),
-    ("spanish", r"\b(el|los|una|y)\b"),
-    ("numbers", r"[0-9]{4,}"),
-)
+RULES = tuple(
+    (name, rf"(^|[^\p{{L}}])({words})([^\p{{L}}]|$)")
+    for name, words in (
+        ("german", "der|die|das|und"),
+        ("french", "le|la|les|une"),
+        ("english", "the|and|of"),
+        ("spanish", "el|los|una|y"),
+    )
+) + (("numbers", "[0-9]{4,}"),)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -188,6 +190,9 @@ MAIL_SQL = r"""mail AS (
       THEN ' see https://' || source || '.example/a/' || doc_id || ', and (http://x.example/y).' ELSE '' END END AS content
   FROM documents)"""
 
+# A French message without a text has an alternative part, which then is its body.
+READABLE_SQL = "coalesce(content, CASE WHEN lang = 'fr' THEN 'ABC' END)"
+
 STORES_SQL = (
     "a AS (SELECT * FROM mail WHERE lang <> 'es'), b AS (SELECT * FROM mail WHERE lang <> 'de')"
 )

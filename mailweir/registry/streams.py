@@ -54,10 +54,9 @@ def stream_resume(spark, sf):
 def stream_table(spark, sf):
     """A given table itself as the stream."""
     root = run_dir(spark, "stream")
-    path = f"{sf}/documents.parquet"
-    D.table(spark, sf, "documents")
+    schema = D.table(spark, sf, "documents").schema
     stream = read_stream(
-        spark, path, spark.read.parquet(path).schema, fmt="parquet", files_per_batch=1
+        spark, f"{sf}/documents*.parquet", schema, fmt="parquet", files_per_batch=1
     )
 
     def to_records(batch):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "mailweir", master: str | None = None, **conf: object) -> SparkSession:
@@ -54,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write intermediate rows to the shared folder and read them back.
+
+    For what several later steps read: it is computed once, survives the loss of
+    executors, and each step reads only the columns it needs.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

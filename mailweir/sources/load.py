@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweir.operators.combine import insertable
@@ -33,6 +33,21 @@ def candidate_days(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return stored.filter(inside | F.col(DAY).isNull() if undated else inside)
 
 
+def append_new(
+    new: DataFrame, table: str, offered: int, failed: int = 0, at: dt.datetime | None = None
+) -> LoadStats:
+    """Append rows already known to be new and unique, and count what that added.
+
+    Counts come from the table itself before and after, not from task counters,
+    which retried tasks would raise twice.
+    """
+    spark = new.sparkSession
+    before = read_mail(spark, table).count()
+    write_mail(conform(stamp_import(new, at)), table, mode="append")
+    added = read_mail(spark, table).count() - before
+    return LoadStats(offered, added, offered - failed - added, failed)
+
+
 def load_insert_only(
     incoming: DataFrame, table: str, order: Sequence[str | Column] = ("internalDate",),
     fixed_days: bool = False, at: dt.datetime | None = None,
@@ -43,31 +58,21 @@ def load_insert_only(
     Loading the same rows again adds nothing, which makes a repeated or
     interrupted load safe. ``fixed_days`` states that a message keeps its day, so
     that only the days the batch touches are searched for its ids.
-
-    Counts come from the table itself before and after, not from task counters,
-    which retried tasks would raise twice.
     """
-    spark = incoming.sparkSession
     offered = incoming if DAY in incoming.columns else incoming.withColumn(
         DAY, F.to_date("parsed_ts")
     )
-    stored = read_mail(spark, table)
-    before = stored.count()
+    stored = read_mail(incoming.sparkSession, table)
+    total, failed = offered.agg(F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
     valid = offered.filter(F.col("id").isNotNull())
     searched = candidate_days(stored, valid) if fixed_days else stored
-    added = conform(stamp_import(insertable(valid, searched, order), at))
-    write_mail(added, table, mode="append")
-    after = read_mail(spark, table).count()
-    total, failed = offered.agg(
-        F.count(F.lit(1)), F.count_if(F.col("id").isNull())
-    ).first()
-    return LoadStats(
-        total_processed=total, successful=after - before,
-        duplicates=total - failed - (after - before), failed=failed,
-    )
+    return append_new(insertable(valid, searched, order), table, total, failed, at)
 
 
-def sync(spark, source: str, target: str, order: Sequence[str | Column] = ("internalDate",)) -> tuple[LoadStats, bool]:
+def sync(
+    spark: SparkSession, source: str, target: str,
+    order: Sequence[str | Column] = ("internalDate",),
+) -> tuple[LoadStats, bool]:
     """Insert into ``target`` what it lacks of ``source``; whether the counts then agree."""
     a = read_mail(spark, source)
     stats = load_insert_only(a, target, order)
