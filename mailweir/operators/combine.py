@@ -14,20 +14,30 @@ def distinct_ids(mail: DataFrame, key: str = "id") -> DataFrame:
     return mail.select(key).distinct()
 
 
-def known_hits(incoming: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
+def known_hits(
+    incoming: DataFrame, stored: DataFrame, key: str = "id", repeats: bool = False
+) -> DataFrame:
     """Ids of incoming messages that are stored already.
 
     The store is the large side and an anti-join could only broadcast it. Asking
     the other way round lets a small batch be the broadcast side, so the store is
     scanned for its id column and not shuffled; a large batch is shuffled once.
+    ``repeats`` says that one id may fill a large share of the store, which an
+    insert-only table rules out.
     """
     wanted = distinct_ids(incoming, key)
-    return stored.select(key).join(wanted, key, "left_semi").distinct()
+    ids = stored.select(key)
+    if repeats:
+        return salted_join(ids, wanted, key, "left_semi").distinct()
+    return ids.join(wanted, key, "left_semi").distinct()
 
 
-def skip_known(incoming: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:
+def skip_known(
+    incoming: DataFrame, stored: DataFrame, key: str = "id", repeats: bool = False
+) -> DataFrame:
     """Incoming messages whose id is not stored; repeats inside them stay."""
-    return salted_join(incoming, known_hits(incoming, stored, key), key, "left_anti")
+    hits = known_hits(incoming, stored, key, repeats)
+    return salted_join(incoming, hits, key, "left_anti")
 
 
 def first_wins(df: DataFrame, order: Sequence[str | Column], key: str = "id") -> DataFrame:
@@ -58,21 +68,22 @@ def merge_new(
     which the first of each id is then kept.
     """
     if dedup_new is None:
-        added = skip_known(new, existing)
+        added = skip_known(new, existing, repeats=True)
     else:
-        added = insertable(new, existing, dedup_new)
+        added = insertable(new, existing, dedup_new, repeats=True)
     return union_all(existing, added)
 
 
 def insertable(
-    incoming: DataFrame, stored: DataFrame, order: Sequence[str | Column], key: str = "id"
+    incoming: DataFrame, stored: DataFrame, order: Sequence[str | Column], key: str = "id",
+    repeats: bool = False,
 ) -> DataFrame:
     """What an insert-only load adds: the first row of every id the store lacks.
 
     Once ids are unique no key is hot, and the anti-join reuses the partitioning
     the de-duplication has made.
     """
-    hits = known_hits(incoming, stored, key)
+    hits = known_hits(incoming, stored, key, repeats)
     return first_wins(incoming, order, key).join(hits, key, "left_anti")
 
 

@@ -15,6 +15,7 @@ from mailweir.operators.increment import plan_increment
 from mailweir.operators.profile import run_stats
 from mailweir.operators.project import named_headers, scan_headers, to_mail
 from mailweir.operators.screen import as_instant, cutoff, outcome, sender_allow
+from mailweir.operators.sequence import early_stop, until_stop
 from mailweir.session import stage
 from mailweir.sources.load import LoadStats, append_new
 from mailweir.sources.runlog import log_rows, write_run_log, write_run_stats
@@ -62,11 +63,14 @@ class RunPaths:
 def run_ingest(
     spark: SparkSession, raw: DataFrame, paths: RunPaths, moment: dt.datetime | str,
     allow: DataFrame | Sequence[str], pos: str = "pos", run_id: str | None = None,
+    stop_after: int | None = None,
 ) -> LoadStats:
     """One batch run: snapshot the table, log every outcome, load what is new.
 
     ``raw`` carries the scan position in ``pos``, which decides which of several
-    copies of a message is kept.
+    copies of a message is kept. With ``stop_after`` the scan ends at that many
+    messages older than the cutoff with none kept between them; without it every
+    message is looked at, in whatever order they have landed.
     """
     run_id = run_id or uuid.uuid4().hex
     started = dt.datetime.now(dt.timezone.utc)
@@ -74,6 +78,10 @@ def run_ingest(
     before = stored.count()
     plan = plan_increment(stored, moment).first()
     outcomes = stage(scan_outcomes(raw, stored, moment, allow, pos), "outcomes")
+    if stop_after is not None:
+        scan = outcomes.withColumn("mailbox", F.lit("all"))
+        stops = early_stop(scan, pos=pos, limit=stop_after)
+        outcomes = stage(until_stop(scan, stops, pos=pos).drop("mailbox"), "outcomes")
     write_run_log(log_rows(outcomes, run_id), paths.run_log)
     snapshot(spark, paths.table, paths.snapshots, started)
 

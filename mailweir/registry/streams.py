@@ -51,6 +51,20 @@ def stream_resume(spark, sf):
     return seen.agg(F.sum("input_rows").alias("input_rows"))
 
 
+def stream_batches(spark, sf):
+    """How the admission limit cuts one delivery into batches, from the query's own progress."""
+    root = run_dir(spark, "stream")
+    _land(D.raw_documents(spark, sf), f"{root}/landing")
+    query = ingest_landed(
+        spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
+        files_per_batch=FILES_PER_BATCH,
+    )
+    filled = progress_rows(spark, query).filter("input_rows > 0")
+    return filled.agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows")
+    )
+
+
 def stream_table(spark, sf):
     """A given table itself as the stream."""
     root = run_dir(spark, "stream")
@@ -69,7 +83,7 @@ def stream_table(spark, sf):
     return read_mail(spark, f"{root}/mail").select("id", F.length("subject").cast("bigint").alias("length"))
 
 
-QUERIES = {f.__name__: f for f in (stream_ingest, stream_resume, stream_table)}
+QUERIES = {f.__name__: f for f in (stream_ingest, stream_resume, stream_batches, stream_table)}
 
 ORACLE = {
     "stream_ingest": over_scan(
@@ -77,5 +91,6 @@ ORACLE = {
 FROM scanned WHERE {D.DATED_SQL} AND {D.MATCH_SQL} GROUP BY id"""
     ),
     "stream_resume": "SELECT count(*) AS input_rows FROM documents",
+    "stream_batches": f"SELECT {FILES // FILES_PER_BATCH} AS batches, count(*) AS input_rows FROM documents",
     "stream_table": over_mail("SELECT id, any_value(n_chars) AS length FROM mail GROUP BY id"),
 }
