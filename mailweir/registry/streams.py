@@ -91,6 +91,6 @@ ORACLE = {
 FROM scanned WHERE {D.DATED_SQL} AND {D.MATCH_SQL} GROUP BY id"""
     ),
     "stream_resume": "SELECT count(*) AS input_rows FROM documents",
-    "stream_batches": f"SELECT {FILES // FILES_PER_BATCH} AS batches, count(*) AS input_rows FROM documents",
+    "stream_batches": f"SELECT CAST({FILES // FILES_PER_BATCH} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
     "stream_table": over_mail("SELECT id, any_value(n_chars) AS length FROM mail GROUP BY id"),
 }
