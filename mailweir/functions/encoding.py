@@ -19,13 +19,24 @@ def b64_decode(data: Column) -> Column:
 
     Missing padding is repaired, characters outside the alphabet are skipped,
     nothing is read after a finished padding, and undecodable input gives no bytes.
+    Clean input is decoded as it stands; only what that refuses is tidied up.
     """
-    letters = F.regexp_replace(F.translate(data, "-_", "+/"), "[^A-Za-z0-9+/=]", "")
-    decoded = F.try_to_binary(
-        F.replace(F.regexp_replace(letters, _PADDED, "$1"), F.lit("="), F.lit("")), F.lit("base64")
-    )
-    plain_ascii = ~data.rlike(r"[^\x{0}-\x{7f}]")
-    return F.coalesce(F.when(plain_ascii, decoded), F.to_binary(F.lit(""), F.lit("utf-8")))
+
+    def tidied(standard: Column) -> Column:
+        letters = F.regexp_replace(standard, "[^A-Za-z0-9+/=]", "")
+        unpadded = F.replace(F.regexp_replace(letters, _PADDED, "$1"), F.lit("="), F.lit(""))
+        decoded = F.try_to_binary(unpadded, F.lit("base64"))
+        return F.when(~standard.rlike(r"[^\x{0}-\x{7f}]"), decoded)
+
+    def decode(standard: Column) -> Column:
+        return F.coalesce(
+            F.try_to_binary(standard, F.lit("base64")),
+            tidied(standard),
+            F.to_binary(F.lit(""), F.lit("utf-8")),
+        )
+
+    plus = F.replace(data, F.lit("-"), F.lit("+"))
+    return let(F.replace(plus, F.lit("_"), F.lit("/")), decode)
 
 
 def utf8_replace(data: Column) -> Column:

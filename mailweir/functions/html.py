@@ -20,7 +20,7 @@ REPLACEMENT = "�"
 
 def is_html(text: Column) -> Column:
     """Whether the text holds anything that looks like a tag."""
-    return text.rlike(P.LOOKS_LIKE_HTML)
+    return F.contains(text, F.lit("<")) & text.rlike(P.LOOKS_LIKE_HTML)
 
 
 @lru_cache(maxsize=None)

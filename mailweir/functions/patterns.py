@@ -13,10 +13,11 @@ SPACE_CHARS = "".join(
     map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
+# All of them but the space, tab, and the two ends of line.
+ODD_SPACES = "".join(c for c in SPACE_CHARS if c not in " \t\r\n")
 # Java tests a class range by range. Most characters are printable ASCII: one
 # look ahead at that single range rules them out several times faster.
 _NOT_PRINTABLE = "(?![!-~])"
-SPACES_JAVA = _NOT_PRINTABLE + SPACES
 
 # The characters at which Python's ``str.splitlines`` breaks a line.
 LINE_BREAK_CLASS = r"\n\r\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}"
@@ -29,23 +30,26 @@ URL_TAIL = r"[.,;!?)]+$"
 # What is removed once the links themselves are gone.
 LINK_LEFTOVER = rf"http[^{SPACE_CLASS}]*|\[link\]|\[/link\]|\(link\)|\(/link\)"
 
+# Zero-width characters that are dropped.
+INVISIBLE = "\u200c\ufeff"
+
 LOOKS_LIKE_HTML = r"<[^>]+>"
 
 # All markup in one alternation, so that a left-to-right scan decides which
 # construct an opening bracket belongs to: a script inside a comment is comment,
 # a comment inside a script is script.
-MARKUP_PARTS = (
-    r"<!--.*?(?:--!?>|\z)",
-    r"<script(?:\s|\s[^>]*[^>/])?>.*?(?:</script[^>]*>|\z)",
-    r"<style(?:\s|\s[^>]*[^>/])?>.*?(?:</style[^>]*>|\z)",
-    r"<[!?][^>]*>",
-    r"</[a-z][^>]*>",
+_MARKUP_PARTS = (
+    r"!--.*?(?:--!?>|\z)",
+    r"script(?:\s|\s[^>]*[^>/])?>.*?(?:</script[^>]*>|\z)",
+    r"style(?:\s|\s[^>]*[^>/])?>.*?(?:</style[^>]*>|\z)",
+    r"[!?][^>]*>",
+    r"/[a-z][^>]*>",
 )
-START_TAG_RE2 = r"""<[a-z][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>"""
+_START_TAG_RE2 = r"""[a-z][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>"""
 # The same language; possessive repetition keeps Java from recursing on long tags.
-START_TAG_JAVA = r"""<[a-z][^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
-MARKUP_RE2 = "(?is)" + "|".join((*MARKUP_PARTS, START_TAG_RE2))
-MARKUP_JAVA = "(?is)" + "|".join((*MARKUP_PARTS, START_TAG_JAVA))
+_START_TAG_JAVA = r"""[a-z][^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
+MARKUP_RE2 = "(?is)<(?:" + "|".join((*_MARKUP_PARTS, _START_TAG_RE2)) + ")"
+MARKUP_JAVA = "(?is)<(?:" + "|".join((*_MARKUP_PARTS, _START_TAG_JAVA)) + ")"
 
 # White space around a line break or a double space separates two chunks of text.
 CHUNK_GAP = (
@@ -54,8 +58,8 @@ CHUNK_GAP = (
 # The look behind keeps a long run without a gap from being tried at every start.
 CHUNK_GAP_JAVA = _NOT_PRINTABLE + f"(?<![{SPACE_CLASS}])" + CHUNK_GAP
 
-NOT_WORD = r"[^\p{L}\p{N}_]+"
-NOT_WORD_JAVA = "(?![a-z0-9_])" + NOT_WORD  # for lower-case text
+# Whole words of three or more characters, for lower-case text.
+LONG_WORD = r"[a-z\p{L}\p{N}_]{3,}"
 # Words that never count as subject keywords.
 STOP_WORDS = (
     "the", "a", "an", "and", "or", "but", "in",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailweir.functions.text import code_points, keywords, size_or_zero
+from mailweir.functions.text import code_points, is_keyword, long_words, size_or_zero
 from mailweir.operators.combine import known_hits
 from mailweir.operators.order import top_k
 
@@ -62,8 +62,9 @@ def content_stats(mail: DataFrame) -> DataFrame:
 
 
 def keyword_counts(mail: DataFrame, column: str = "subject") -> DataFrame:
-    words = mail.select(F.explode(keywords(F.col(column))).alias("keyword"))
-    return words.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
+    words = mail.select(F.explode(long_words(F.col(column))).alias("keyword"))
+    # Stop words are dropped as rows, inside generated code, not one by one in a lambda.
+    return words.filter(is_keyword(F.col("keyword"))).groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_keywords(mail: DataFrame, k: int = 10, column: str = "subject") -> DataFrame:

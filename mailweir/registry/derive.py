@@ -17,15 +17,13 @@ CUTOFF = "2024-11-14T00:00:00+00:00"
 ALLOW = ("src1@", "src7@", "SRC9@", "@de.")
 #: The zone a message's date is written in, by its length.
 ZONES = (" +0000", " -0500 (EST)", " GMT", " EDT", " XYZ (PST)", " 0530", " MST", "")
-RULES = tuple(
-    (name, rf"(^|[^\p{{L}}])({words})([^\p{{L}}]|$)")
-    for name, words in (
-        ("german", "der|die|das|und"),
-        ("french", "le|la|les|une"),
-        ("english", "the|and|of"),
-        ("spanish", "el|los|una|y"),
-    )
-) + (("numbers", "[0-9]{4,}"),)
+RULES = (
+    ("german", " (der|die|das|und) "),
+    ("french", " (le|la|les|une) "),
+    ("english", " (the|and|of) "),
+    ("spanish", " (el|los|una|y) "),
+    ("numbers", "[0-9]{4,}"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,7 +98,8 @@ def stored(df: DataFrame) -> DataFrame:
 
 def _encoded(text: Column) -> Column:
     # Landed bodies are one line of URL-safe base64.
-    return F.translate(F.regexp_replace(F.base64(text), r"\s", ""), "+/", "-_")
+    line = F.replace(F.base64(text), F.lit("\r\n"), F.lit(""))
+    return F.replace(F.replace(line, F.lit("+"), F.lit("-")), F.lit("/"), F.lit("_"))
 
 
 def _headers(*pairs: tuple[str, Column]) -> Column:
@@ -124,12 +123,13 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     zone = F.get(F.array(*[F.lit(z) for z in ZONES]), (F.col("n_chars") % len(ZONES)).cast("int"))
     date = F.concat(F.date_format(_local_ts(), "EEE, d MMM yyyy HH:mm:ss"), zone)
-    data = _encoded(_content())
+    data = F.col("_data")
     multipart = F.col("lang") == "fr"
     no_parts = F.array().cast("array<struct<mimeType:string,body:struct<data:string>>>")
     parts = F.array(_part("text/calendar", F.lit("QUJD")), _part("text/plain", F.lit("")),
                     _part("text/plain", data), _part("text/html", F.lit("QUJD")))
-    return table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").withColumn("_data", _encoded(_content()))
+    return documents.select(
         F.col("doc_id").alias("pos"),
         F.concat(F.lit("m"), F.md5("text")).alias("id"),
         F.concat_ws("-", F.lit("t"), "lang", "source").alias("threadId"),
