@@ -45,32 +45,32 @@ def transfer_decode(spark, sf):
 
 
 def html_unescape(spark, sf):
-    return D.table(spark, sf, "pages").select(
+    return D.table(spark, sf, "pages", heavy=True).select(
         "page_id", html.html_unescape(F.col("html")).alias("text")
     )
 
 
 def html_text(spark, sf):
-    return D.table(spark, sf, "pages").select(
+    return D.table(spark, sf, "pages", heavy=True).select(
         "page_id", html.html_text(F.col("html")).alias("text")
     )
 
 
 def extract_urls(spark, sf):
     urls = text.extract_urls(F.col("content"))
-    return D.mail(spark, sf).select("pos", F.posexplode(urls).alias("n", "url"))
+    return D.mail(spark, sf, heavy=True).select("pos", F.posexplode(urls).alias("n", "url"))
 
 
 def page_links(spark, sf):
     """Links of web pages' addresses and markup: '#' and '~' end them."""
     whole = F.concat_ws(" ", "url", "html")
-    return D.table(spark, sf, "pages").select(
+    return D.table(spark, sf, "pages", heavy=True).select(
         "page_id", F.posexplode(text.extract_urls(whole)).alias("n", "url")
     )
 
 
 def clean_text(spark, sf):
-    return D.mail(spark, sf).select("pos", text.clean_text(F.col("content")).alias("clean"))
+    return D.mail(spark, sf, heavy=True).select("pos", text.clean_text(F.col("content")).alias("clean"))
 
 
 def _shown(body):
@@ -81,7 +81,7 @@ def _shown(body):
 
 
 def structure_body(spark, sf):
-    rows = D.mail(spark, sf).select("pos", text.structure_body(F.col("content")).alias("body"))
+    rows = D.mail(spark, sf, heavy=True).select("pos", text.structure_body(F.col("content")).alias("body"))
     return rows.select("pos", *_shown(F.col("body")))
 
 

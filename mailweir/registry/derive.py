@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailweir.functions.binding import compute_once
 from mailweir.functions.text import structure_body
+from mailweir.session import spread
 from mailweir.sources.tables import conform
 
 CUTOFF = "2024-11-14T00:00:00+00:00"
@@ -26,10 +28,12 @@ RULES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table; ``heavy`` announces costly work on each row."""
     # Days and dates in results are UTC ones.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if heavy else rows
 
 
 def _local_ts() -> Column:
@@ -51,16 +55,17 @@ def _content() -> Column:
 
 
 def _sender() -> Column:
-    return _unless(89, F.format_string("%s <%s@%s.example>", "source", "source", "lang"))
+    address = F.concat("source", F.lit(" <"), "source", F.lit("@"), "lang", F.lit(".example>"))
+    return _unless(89, address)
 
 
 def _subject() -> Column:
-    return _unless(61, F.split_part("text", F.lit("\n"), F.lit(1)))
+    return _unless(61, F.substring_index("text", "\n", 1))
 
 
-def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mail(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """One message per document; ``content`` is its text before cleaning."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", heavy).select(
         F.col("doc_id").alias("pos"),
         F.concat(F.lit("m"), F.md5("text")).alias("id"),
         F.concat_ws("-", F.lit("t"), "lang", "source").alias("threadId"),
@@ -76,7 +81,7 @@ def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with cleaned bodies."""
     content = F.col("content")
-    return mail(spark, sf_dir).withColumn(
+    return mail(spark, sf_dir, heavy=True).withColumn(
         "body", F.when(content.isNotNull(), structure_body(content))
     )
 
@@ -116,20 +121,27 @@ def _part(mime: str, data: Column) -> Column:
     )
 
 
-def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_documents(spark: SparkSession, sf_dir: str, bodies: bool = True) -> DataFrame:
     """Documents as raw messages: French ones have parts, the others carry their own body.
 
     Headers in the wrong case come first and repeats last; neither may be picked.
+    For work on headers alone the bodies can be left out.
     """
     zone = F.get(F.array(*[F.lit(z) for z in ZONES]), (F.col("n_chars") % len(ZONES)).cast("int"))
     date = F.concat(F.date_format(_local_ts(), "EEE, d MMM yyyy HH:mm:ss"), zone)
-    data = F.col("_data")
+    named = table(spark, sf_dir, "documents", heavy=bodies).withColumns(
+        {"_sender": _sender(), "_subject": _subject(), "_date": _unless(97, date)}
+    )
+    if bodies:
+        named = compute_once(named, {"_data": _encoded(_content())})
+    else:
+        named = named.withColumn("_data", F.lit(None).cast("string"))
+    data, sender = F.col("_data"), F.col("_sender")
     multipart = F.col("lang") == "fr"
     no_parts = F.array().cast("array<struct<mimeType:string,body:struct<data:string>>>")
     parts = F.array(_part("text/calendar", F.lit("QUJD")), _part("text/plain", F.lit("")),
                     _part("text/plain", data), _part("text/html", F.lit("QUJD")))
-    documents = table(spark, sf_dir, "documents").withColumn("_data", _encoded(_content()))
-    return documents.select(
+    return named.select(
         F.col("doc_id").alias("pos"),
         F.concat(F.lit("m"), F.md5("text")).alias("id"),
         F.concat_ws("-", F.lit("t"), "lang", "source").alias("threadId"),
@@ -139,9 +151,10 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.when(multipart, "multipart/mixed").otherwise("text/plain").alias("mimeType"),
             _headers(
-                ("from", F.lit("wrong@case.example")), ("From", _sender()),
-                ("Date", _unless(97, date)), ("SUBJECT", F.lit("wrong case")),
-                ("Subject", _subject()), ("From", F.when(_sender().isNotNull(), F.lit("second@from.example"))),
+                ("from", F.lit("wrong@case.example")), ("From", sender),
+                ("Date", F.col("_date")), ("SUBJECT", F.lit("wrong case")),
+                ("Subject", F.col("_subject")),
+                ("From", F.when(sender.isNotNull(), F.lit("second@from.example"))),
             ).alias("headers"),
             F.struct(F.when(~multipart, data).alias("data")).alias("body"),
             F.when(multipart, parts).otherwise(no_parts).alias("parts"),
@@ -152,7 +165,7 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as raw HTML messages, undated, from the page's host."""
     host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", heavy=True).select(
         F.col("page_id").alias("pos"),
         F.concat(F.lit("p"), F.md5("html")).alias("id"),
         F.lit(None).cast("string").alias("threadId"),

@@ -56,7 +56,7 @@ def quality_summary(spark, sf):
 
 
 def keywords(spark, sf):
-    return profile.top_keywords(D.table(spark, sf, "documents"), column="text")
+    return profile.top_keywords(D.table(spark, sf, "documents", heavy=True), column="text")
 
 
 def subject_keywords(spark, sf):
@@ -76,7 +76,7 @@ def dup_id_count(spark, sf):
 
 
 def _categorised(spark, sf):
-    mail = D.mail(spark, sf)
+    mail = D.mail(spark, sf, heavy=True)
     return profile.with_category(mail, F.col("text"), D.RULES)
 
 
@@ -91,7 +91,7 @@ def category_share(spark, sf):
 
 def themes(spark, sf):
     words = F.filter(F.split(F.lower("text"), " "), lambda w: F.length(w) >= 8)
-    return profile.top_themes(D.mail(spark, sf), F.array_distinct(words))
+    return profile.top_themes(D.mail(spark, sf, heavy=True), F.array_distinct(words))
 
 
 def sort_recent(spark, sf):

@@ -65,3 +65,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out rows that arrive in fewer pieces than there are cores.
+
+    Meant for costly per-row work over a small table, whose single file would
+    keep one core busy. A table of more pieces than cores is left as it is, so
+    what this ever moves is bounded by the cores times the size of a split.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
