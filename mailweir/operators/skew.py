@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 #: At most this many keys are salted; a key outside the list is a small share of the rows.
 HOT_KEYS = 256
-#: Counters kept by the frequent-items sketch. Any key above 1/7500 of the rows is found.
-HOT_COUNTERS = 10_000
+#: Counters kept by each frequent-items sketch. Any key above 1/3000 of the rows is found.
+HOT_COUNTERS = 4096
+#: Sketches are merged in this many tasks before the last merge, which then sees only these.
+SKETCH_GROUPS = 256
 #: A key below this many rows fits a task and needs no salt.
 HOT_ROWS = 100_000
 #: Tasks a hot key is spread over.
@@ -18,15 +20,23 @@ SALTS = 64
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """The keys with most rows, at most ``HOT_KEYS`` of them.
 
-    A sketch per partition, merged once: the keys themselves are not shuffled.
-    It decides only how rows travel, never which rows are in a result.
+    One sketch per input partition, merged in two steps: neither the keys nor all
+    sketches pass through one task. It decides only how rows travel, never which
+    rows are in a result.
     """
-    sketch = F.call_function(
-        "approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(HOT_COUNTERS)
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    call, counters = F.call_function, F.lit(HOT_COUNTERS)
+    sketches = (
+        df.select(group, F.col(key).alias("_key"))
+        .groupBy("_group")
+        .agg(call("approx_top_k_accumulate", F.col("_key"), counters).alias("_sketch"))
     )
-    top = df.agg(sketch.alias("_top")).select(F.explode("_top").alias("_t"))
-    return top.filter((F.col("_t.count") >= min_rows) & F.col("_t.item").isNotNull()).select(
-        F.col("_t.item").alias(key)
+    merged = sketches.agg(call("approx_top_k_combine", F.col("_sketch"), counters).alias("_sketch"))
+    top = call("approx_top_k_estimate", F.col("_sketch"), F.lit(HOT_KEYS))
+    return (
+        merged.select(F.explode(top).alias("_t"))
+        .filter((F.col("_t.count") >= min_rows) & F.col("_t.item").isNotNull())
+        .select(F.col("_t.item").alias(key))
     )
 
 

@@ -23,6 +23,8 @@ def build_session(app: str = "mailweir", master: str | None = None, **conf: obje
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Noting the call site of every column expression costs more than building it.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -34,12 +34,15 @@ def read_stream(
 def start_ingest(
     stream: DataFrame, to_records: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
     order: Sequence[str | Column] = ("internalDate",), continuous: str | None = None,
+    fixed_days: bool = False,
 ) -> StreamingQuery:
     """Load a stream into a mail table.
 
     ``to_records`` turns one batch of the source into mail records. By default
     everything that has landed is loaded and the query ends; ``continuous`` gives
-    a trigger interval for one that keeps running.
+    a trigger interval for one that keeps running. Each batch looks its ids up in
+    the whole table; ``fixed_days`` states that copies of a message agree on its
+    date, and narrows that to the days the batch touches.
     """
 
     def load(batch: DataFrame, _: int) -> None:
@@ -47,7 +50,7 @@ def start_ingest(
         # admission limit and spills to disk; a lost block is read again from source.
         records = to_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            load_insert_only(records, table, order)
+            load_insert_only(records, table, order, fixed_days)
         finally:
             records.unpersist()
 
@@ -60,11 +63,13 @@ def start_ingest(
 def ingest_landed(
     spark: SparkSession, landing: str, table: str, checkpoint: str,
     moment: dt.datetime | str, allow: DataFrame | Sequence[str], files_per_batch: int | None = 70,
+    fixed_days: bool = False,
 ) -> StreamingQuery:
     """Screen, decode and load every raw message that has landed since the last call."""
     stream = read_stream(spark, landing, files_per_batch=files_per_batch)
     query = start_ingest(
-        stream, lambda batch: screened_mail(batch, moment, allow), table, checkpoint
+        stream, lambda batch: screened_mail(batch, moment, allow), table, checkpoint,
+        fixed_days=fixed_days,
     )
     query.awaitTermination()
     return query

@@ -18,10 +18,10 @@ def landing(tmp_path):
     return tmp_path
 
 
-def ingest(spark, tmp_path, files_per_batch, name="mail"):
+def ingest(spark, tmp_path, files_per_batch, name="mail", **options):
     return ingest_landed(
         spark, str(tmp_path / "in"), str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"),
-        CUTOFF, ["news@"], files_per_batch,
+        CUTOFF, ["news@"], files_per_batch, **options,
     )
 
 
@@ -36,6 +36,12 @@ def test_stream_equals_batch(spark, landing, files_per_batch):
     assert stored.count() == 34
 
 
+def test_searching_only_the_days_touched_gives_the_same(spark, landing):
+    ingest(spark, landing, 1, fixed_days=True)
+    stored = tables.read_mail(spark, str(landing / "mail"))
+    assert stored.count() == 34 == stored.select("id").distinct().count()
+
+
 def test_restart_reads_only_what_is_new(spark, landing):
     ingest(spark, landing, 2)
     land(landing / "in", "g.json", [message("m1"), message("new")])
