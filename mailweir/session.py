@@ -32,18 +32,26 @@ def build_session(app: str = "mailweir", master: str | None = None, **conf: obje
     return builder.getOrCreate()
 
 
+#: Folders made for local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a session that names
-    none (a local test) gets a folder of its own.
+    A cluster names it in ``spark.checkpoint.dir`` and has to: a folder of this
+    machine would be out of the executors' reach. Only a local session, as in
+    tests, gets one of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    made = tempfile.mkdtemp(prefix="mailweir-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="mailweir-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
