@@ -49,3 +49,9 @@ def store_comparison(a: DataFrame, b: DataFrame) -> dict[str, DataFrame]:
         "range_b": profile.date_range(b),
         "top_senders": profile.top_senders(b),
     }
+
+
+def run_status(a: DataFrame, b: DataFrame) -> DataFrame:
+    """How a run ended: completed if both stores agree, otherwise with warnings."""
+    status = F.when(F.col("passed"), "completed").otherwise("completed_with_warnings")
+    return combine.verify_gate(a, b).withColumn("status", status)

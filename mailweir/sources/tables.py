@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mailweir.functions.dates import iso_instant
@@ -54,9 +54,17 @@ def spread_by_day(mail: DataFrame) -> DataFrame:
     )
 
 
-def write_mail(mail: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a table partitioned by day, latest first inside each file."""
-    spread_by_day(conform(mail)).write.mode(mode).partitionBy(DAY).parquet(path)
+def write_mail(mail: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write a table partitioned by day, latest first inside each file; the rows written.
+
+    The rows are counted by the writing tasks themselves, after the last shuffle,
+    where Spark counts a task once however often it is tried. Neither the input
+    nor the table has to be read again to know the number.
+    """
+    written = Observation()
+    counted = spread_by_day(conform(mail)).observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode(mode).partitionBy(DAY).parquet(path)
+    return written.get["rows"]
 
 
 def _from_json_layout(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from mailweir.plans.verify import run_status
 from mailweir.operators import combine, increment, order, profile, screen, sequence, skew
 
 UTC = dt.timezone.utc
@@ -83,6 +84,8 @@ def test_reconcile_and_gate(stores, spark):
     # Equal sets do not pass if one side repeats an id.
     assert not combine.verify_gate(a, a.dropDuplicates(["id"])).first()["passed"]
     assert combine.sets_equal(a, a.dropDuplicates(["id"])).first()["equal"]
+    assert run_status(a, b).first()["status"] == "completed_with_warnings"
+    assert run_status(a, a).first()["status"] == "completed"
     none = a.limit(0)
     assert tuple(combine.verify_gate(none, none).first()) == (0, 0, 0, True)
 
