@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweir.functions.dates import with_mail_date
+from mailweir.operators.combine import first_wins
 from mailweir.operators.increment import plan_increment
 from mailweir.operators.profile import run_stats
 from mailweir.operators.project import named_headers, scan_headers, to_mail
@@ -67,8 +68,8 @@ def run_ingest(
 ) -> LoadStats:
     """One batch run: snapshot the table, log every outcome, load what is new.
 
-    ``raw`` carries the scan position in ``pos``, which decides which of several
-    copies of a message is kept. With ``stop_after`` the scan ends at that many
+    ``raw`` carries the scan position in ``pos``, a number that decides which of
+    several copies of a message is kept. With ``stop_after`` the scan ends at that many
     messages older than the cutoff with none kept between them; without it every
     message is looked at, in whatever order they have landed.
     """
@@ -88,8 +89,12 @@ def run_ingest(
     # The outcomes name every message to be stored, one per id. A short list of them is
     # broadcast, so that no body is shuffled; a long one meets the bodies on unique keys.
     kept = outcomes.filter(F.col("outcome") == "success").select("id", pos)
-    offered = screened_mail(raw, moment, allow, pos)
-    stats = append_new(offered.join(kept, ["id", pos], "left_semi"), paths.table, kept.count())
+    listed, ids = kept.agg(F.count(F.lit(1)), F.count_distinct("id")).first()
+    new = screened_mail(raw, moment, allow, pos).join(kept, ["id", pos], "left_semi")
+    if listed != ids:
+        # Copies of a message share a scan position, so it did not tell them apart.
+        new = first_wins(new, [pos])
+    stats = append_new(new, paths.table, listed)
 
     summary = run_stats(outcomes).select(
         "*",

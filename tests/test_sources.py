@@ -212,6 +212,13 @@ def test_runs(spark, tmp_path):
     assert len(snapshots.snapshots(spark, paths.snapshots)) == 1
 
 
+def test_copies_at_one_position_are_stored_once(spark, tmp_path):
+    land(tmp_path / "one", "a.json", [message("m1"), message("m2"), message("m1")])
+    paths, stats = run(spark, tmp_path, "one", "r1")
+    assert (stats.successful, stats.duplicates) == (2, 1)
+    assert rows(tables.read_mail(spark, paths.table).select("id")) == [("m1",), ("m2",)]
+
+
 def test_a_run_can_stop_early(spark, tmp_path):
     days = [20, 1, 20, 1, 1, 20]
     land(tmp_path / "one", "a.json", [message(f"m{i}", day=d) for i, d in enumerate(days)])
