@@ -187,10 +187,10 @@ def train(
     )
     rows = open_docs.join(F.broadcast(chosen), "doc_id")
     found = _features_of(rows, "positive").limit(4 * sample).collect()
-    values = np.array([r["features"] for r in found]).reshape(len(found), -1)
+    width = len(features(None))
+    values = np.array([r["features"] for r in found]).reshape(len(found), width)
     positive = np.array([r["positive"] for r in found], bool)
     if not positive.any() or positive.all():
-        width = len(features(None))
         return Model(np.zeros(width), np.ones(width), np.zeros(2 * width + 1), 0.5)
     return fit_risk(values[positive], values[~positive])
 
@@ -202,8 +202,8 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([features(v.as_py()) for v in batch.column(text)]).reshape(batch.num_rows, -1)
-            scores = pa.array(model.score(rows) if batch.num_rows else [], pa.float64())
+            rows = np.array([features(v.as_py()) for v in batch.column(text)]).reshape(batch.num_rows, len(model.mean))
+            scores = pa.array(model.score(rows), pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), scores], names=[*names, name])
 
     return docs.mapInArrow(run, f"{schema}, `{name}` double")
