@@ -7,18 +7,22 @@ are similar enough share one among their first few (for n shingles and a Jaccard
 t, the first ``n - ceil(t n) + 1``). Every shingle that is among the first of several classes
 is the root of a tree, and a class is in the trees of its first shingles. The order comes from a
 table of 2^18 counters, filled by all documents, so that what many documents share is
-nobody's first shingle. Any order gives the same result.
-
-*A tree.* Leaves hold classes next in size, with a bitmap of 1024 bits of each; a node
-holds the OR of its bitmaps and its range of sizes. Two nodes are visited together and
-dropped if their sizes are too far apart, if neither has a class whose greatest possible overlap with
-the other's bitmap is enough, or if all their classes are one component already. Pairs of
-classes that are left are compared word by word.
-
-*Groups of copies.* Before the trees are walked, each class is compared with one other, the
-one picked as hub by most of its trees, and the links found make components. In a
-large group of near copies nearly all classes are joined by that, and the trees only look for links
-between components. A tree with very many classes is walked by several tasks, each a pair of its parts.
+nobody's first shingle. Any order gives the same result. Trees whose least class is the
+same are one tree, so near copies, which share most of their first shingles, meet in few.
+
+*A tree.* Leaves hold classes next in size, with a bitmap of each set; a node holds the OR
+of its bitmaps and its range of sizes. Two nodes are visited together and dropped if
+their sizes are too far apart, if neither has a class whose greatest possible overlap with the
+other's bitmap is enough, or if all their classes are one component already. A first walk
+with bitmaps of 1024 bits keeps the classes that have a candidate at all; most, which only share
+a shingle by chance, end there. The others are walked with 4096 bits.
+
+*Groups of copies.* That walk takes its candidates for links as it goes, skips nodes that are joined
+by them, and hands over one candidate per join: no more than there are classes. They are
+compared word by word, and the links among them make components. A last walk over the trees that
+skipped anything hands over every candidate between different components, which are compared
+as well. In a large group of near copies that is next to nothing. A tree with very many classes is
+walked by several tasks, each a pair of its parts.
 
 The result is exact: no bucket, tree or candidate is capped.
 """
@@ -40,8 +44,8 @@ from mailweir.session import stage
 
 #: Counters of the table that orders shingles: a 1 MB array.
 COUNTERS = 1 << 18
-#: 64-bit words of a bitmap.
-BITMAP_WORDS = 16
+#: 64-bit words of the two bitmaps; the coarse one joins neighbouring bits of the fine one.
+FINE_WORDS, COARSE_WORDS = 64, 16
 LEAF, FAN = 32, 8
 #: Classes of a tree that one task walks; a larger tree is walked in parts.
 PART = 4096
@@ -90,12 +94,16 @@ def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = _Hashes(), np.zeros(COUNTERS, np.int64)
+        held, many = [], 0
         for batch in batches:
             for value in batch.column("text"):
-                found = shingle_hashes(spaced_words(value.as_py()), size, hashes)
-                counts += np.bincount(_slots(found), minlength=COUNTERS) if len(found) > 20_000 else 0
-                if len(found) <= 20_000:
-                    np.add.at(counts, _slots(found), 1)
+                held.append(shingle_hashes(spaced_words(value.as_py()), size, hashes))
+                many += len(held[-1])
+                if many > 4 * COUNTERS:
+                    counts += np.bincount(_slots(np.concatenate(held)), minlength=COUNTERS)
+                    held, many = [], 0
+        if held:
+            counts += np.bincount(_slots(np.concatenate(held)), minlength=COUNTERS)
         slots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], names=["slot", "n"])
 
@@ -107,13 +115,13 @@ def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _profile(docs: DataFrame, size: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
-    """``d, h, n, digest, first, bits`` of every document: set size, digest of the set, its first
-    shingles, its bitmap."""
+    """``d, h, n, digest, first, coarse, fine`` of every document: set size, digest of the set,
+    its first shingles, its bitmaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            sizes, digests, firsts, bitmaps = [], [], [], []
+            sizes, digests, firsts, coarse, fine = [], [], [], [], []
             for value in batch.column("text"):
                 found = shingle_hashes(spaced_words(value.as_py()), size, hashes)
                 n = len(found)
@@ -122,19 +130,20 @@ def _profile(docs: DataFrame, size: int, num: int, den: int, counts: np.ndarray)
                 keep = n - -(-num * n // den) + 1 if n else 0
                 order = np.lexsort((found, counts[_slots(found)]))[:keep]
                 firsts.append(found[order].view(np.int64))
-                bitmap = np.zeros(BITMAP_WORDS * 64, np.uint8)
-                bitmap[(found >> np.uint64(54)).astype(np.int64)] = 1
-                bitmaps.append(np.packbits(bitmap).tobytes())
+                bitmap = np.zeros(FINE_WORDS * 64, np.uint8)
+                bitmap[(found >> np.uint64(52)).astype(np.int64)] = 1
+                fine.append(np.packbits(bitmap).tobytes())
+                coarse.append(np.packbits(bitmap.reshape(COARSE_WORDS * 64, -1).max(axis=1)).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("d"), batch.column("h"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(firsts, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary()),
+                    pa.array(firsts, pa.list_(pa.int64())), pa.array(coarse, pa.binary()), pa.array(fine, pa.binary()),
                 ],
-                names=["d", "h", "n", "digest", "first", "bits"],
+                names=["d", "h", "n", "digest", "first", "coarse", "fine"],
             )
 
     return docs.select("d", "h", "text").mapInArrow(
-        run, "d bigint, h bigint, n bigint, digest binary, first array<bigint>, bits binary"
+        run, "d bigint, h bigint, n bigint, digest binary, first array<bigint>, coarse binary, fine binary"
     )
 
 
@@ -162,6 +171,9 @@ class SignatureTree:
         while len(level) > 1:
             level = [self._above(level[at : at + FAN]) for at in range(0, len(level), FAN)]
         self.root = level[0]
+        #: What a walk takes for joined, if it does; whether that made it skip anything.
+        self.joined: np.ndarray | None = None
+        self.skipped = False
 
     @staticmethod
     def _above(nodes: list[_Node]) -> _Node:
@@ -187,6 +199,11 @@ class SignatureTree:
                 continue
             if self.num * a.small > self.den * b.large or self.num * b.small > self.den * a.large:
                 continue
+            if self.joined is not None:
+                labels = self.joined[a.rows]
+                if (labels == labels[0]).all() and (self.joined[b.rows] == labels[0]).all():
+                    self.skipped |= len(a.rows) > 1 or a is not b
+                    continue
             if a.children is None and b.children is None:
                 found = self._compare(a, b)
                 if len(found[0]):
@@ -218,32 +235,73 @@ class SignatureTree:
         return left[i], right[j]
 
 
-def _bit_rows(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), BITMAP_WORDS)
+    def forest(self, ours) -> list[tuple[int, int]]:
+        """One candidate for each join that all candidates would make."""
+        self.joined = np.arange(len(self.sizes))
+        taken = []
+        for i, j in self.pairs():
+            mine = ours(i, j)
+            i, j = i[mine], j[mine]
+            fresh = self.joined[i] != self.joined[j]
+            self.skipped |= not fresh.all()
+            for x, y in zip(i[fresh].tolist(), j[fresh].tolist()):
+                one, other = self.joined[x], self.joined[y]
+                if one == other:
+                    self.skipped = True
+                    continue
+                self.joined[self.joined == other] = one
+                taken.append((x, y))
+        return taken
 
 
-def _walk(num: int, den: int):
-    """Candidates of many trees, or parts of one, that a task holds."""
+_ROW = "tree bigint, p int, q int, cid bigint, n bigint, comp bigint, here boolean, there boolean"
+_PAIR = "a bigint, b bigint, tree bigint, p int, q int, more boolean"
+
+
+def _walk(num: int, den: int, words: int, kind: str):
+    """Walk the trees, or parts of one, that a task holds.
+
+    ``rows`` returns the rows that have a candidate, ``forest`` one candidate per join with a
+    mark if the tree has more, ``all`` every candidate.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["token", "p", "q", "cid"], kind="stable").reset_index(drop=True)
-        keys = rows[["token", "p", "q"]].to_numpy()
+        rows = rows.sort_values(["tree", "p", "q", "cid"], kind="stable").reset_index(drop=True)
+        keys = rows[["tree", "p", "q"]].to_numpy()
         edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
         cids, sizes, comps = (rows[c].to_numpy(np.int64) for c in ("cid", "n", "comp"))
-        bits, here, there = _bit_rows(rows["bits"]), rows["here"].to_numpy(bool), rows["there"].to_numpy(bool)
-        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), words)
+        here, there = rows["here"].to_numpy(bool), rows["there"].to_numpy(bool)
+        busy = np.zeros(len(rows), bool)
+        pairs: list[tuple[int, int, int, bool]] = []
         for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)]):
             if hi - lo < 2:
                 continue
             at = slice(lo, hi)
+            first, second = here[at], there[at]
             tree = SignatureTree(sizes[at], comps[at], bits[at], num, den)
+
+            def ours(i, j, first=first, second=second):
+                return first[i] & second[j] | first[j] & second[i]
+
+            if kind == "forest":
+                taken = tree.forest(ours)
+                pairs += [(lo + i, lo + j, lo, tree.skipped) for i, j in taken]
+                continue
             for i, j in tree.pairs():
-                i, j = i + lo, j + lo
-                ours = here[i] & there[j] | here[j] & there[i]
-                found_a.append(cids[i[ours]])
-                found_b.append(cids[j[ours]])
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+                mine = ours(i, j)
+                i, j = i[mine] + lo, j[mine] + lo
+                busy[i] = busy[j] = True
+                if kind == "all":
+                    pairs += [(x, y, lo, False) for x, y in zip(i.tolist(), j.tolist())]
+        if kind == "rows":
+            return rows[busy].drop(columns=["bits", "task"])
+        i, j, at = (np.array([x[k] for x in pairs], np.int64) for k in range(3))
+        found = pd.DataFrame({"a": np.minimum(cids[i], cids[j]), "b": np.maximum(cids[i], cids[j])})
+        for c in ("tree", "p", "q"):
+            found[c] = rows[c].to_numpy()[at]
+        found["more"] = np.array([x[3] for x in pairs], bool)
+        return found
 
     return run
 
@@ -301,72 +359,68 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _hub_pairs(alive: DataFrame, num: int, den: int) -> DataFrame:
-    """For each class one other: the class picked as hub by most of its trees."""
-    picked = F.min(F.struct(F.xxhash64("cid").alias("turn"), "cid", "n"))
-    hubs = alive.groupBy("token").agg(picked.alias("hub")).select(
-        "token", F.col("hub.cid").alias("b"), F.col("hub.n").alias("n_b")
-    )
-    votes = (
-        alive.join(hubs, "token")
-        .filter((F.col("cid") != F.col("b")) & (F.col("n") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n") * num))
-        .groupBy("cid", "b").agg(F.count(F.lit(1)).alias("votes"))
+def _walked(rows: DataFrame, bitmaps: DataFrame, num: int, den: int, words: int, kind: str) -> DataFrame:
+    """All trees of ``rows``, each walked in one task with the bitmaps of its classes."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, rows.count() // TASK_ROWS)
+    with_bits = rows.join(bitmaps.toDF("cid", "bits"), "cid").withColumn(
+        "task", F.pmod(F.xxhash64("tree", "p", "q"), F.lit(tasks))
     )
-    best = votes.groupBy("cid").agg(F.max(F.struct("votes", "b")).alias("best"))
-    return best.select(F.least("cid", "best.b").alias("a"), F.greatest("cid", "best.b").alias("b")).distinct()
+    schema = _ROW if kind == "rows" else _PAIR
+    columns = [c.split()[0] for c in _ROW.split(", ")]
+    return with_bits.select(*columns, "bits", "task").groupBy("task").applyInPandas(_walk(num, den, words, kind), schema)
 
 
-def _tree_pairs(alive: DataFrame, comps: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidates between components, from all trees."""
-    spark = alive.sparkSession
-    rows = alive.join(comps.toDF("cid", "root"), "cid", "left").select(
-        "token", "cid", "n", F.coalesce("root", "cid").alias("comp")
-    )
-    rows = stage(rows, "tree-rows")
-    mixed = (
-        rows.groupBy("token").agg(F.min("comp").alias("one"), F.max("comp").alias("other"), F.count(F.lit(1)).alias("many"))
-        .filter("one != other").select("token", F.ceil(F.col("many") / PART).cast("int").alias("parts"))
-    )
-    part = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    cut = rows.join(mixed, "token").withColumn("own", part).withColumn(
+def _tree_rows(alive: DataFrame) -> DataFrame:
+    """Classes of each tree, with large trees cut into pairs of parts."""
+    rows = alive.withColumnRenamed("lo", "tree")
+    parts = rows.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    cut = rows.join(parts, "tree").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    ).select(
-        "token", "cid", "n", "comp", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"),
-        (F.col("own") <= F.col("with")).alias("here"), (F.col("own") >= F.col("with")).alias("there"),
     )
-    cut = stage(cut, "tree-cut")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cut.count() // TASK_ROWS)
-    return (
-        cut.join(classes.select("cid", "bits"), "cid")
-        .withColumn("task", F.pmod(F.xxhash64("token", "p", "q"), F.lit(tasks)))
-        .groupBy("task").applyInPandas(_walk(num, den), "a bigint, b bigint")
-        .distinct()
+    return cut.select(
+        "tree", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "cid", "n",
+        F.col("cid").alias("comp"), (F.col("own") <= F.col("with")).alias("here"), (F.col("own") >= F.col("with")).alias("there"),
     )
 
 
+def _links(alive: DataFrame, profile: DataFrame, classes: DataFrame, keyed: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``node, root`` of all classes that link with another."""
+    def bitmaps(name: str, rows: DataFrame) -> DataFrame:
+        wanted = classes.join(rows.select("cid").distinct(), "cid").select("cid", "d", "h")
+        # Rows of the same id and text have the same bitmap.
+        return profile.select("d", "h", name).join(wanted, ["d", "h"]).select("cid", name).dropDuplicates(["cid"])
+
+    trees = stage(_tree_rows(alive), "tree-rows")
+    busy = stage(_walked(trees, bitmaps("coarse", trees), num, den, COARSE_WORDS, "rows"), "tree-busy")
+    fine = stage(bitmaps("fine", busy), "tree-fine")
+    forest = stage(_walked(busy, fine, num, den, FINE_WORDS, "forest"), "tree-forest")
+    links = stage(_verified(forest.select("a", "b").distinct(), keyed, classes, words, num, den), "tree-links")
+    comps = stage(components(links.toDF("u", "v")), "tree-comps")
+    open_trees = forest.filter("more").select("tree", "p", "q").distinct()
+    rest = busy.join(open_trees, ["tree", "p", "q"]).drop("comp").join(comps.toDF("cid", "root"), "cid", "left")
+    rest = rest.withColumn("comp", F.coalesce("root", "cid"))
+    columns = [c.split()[0] for c in _ROW.split(", ")]
+    rest = stage(rest.select(*columns), "tree-rest")
+    more = _walked(rest, fine, num, den, FINE_WORDS, "all").select("a", "b").distinct()
+    more = more.join(forest.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    more = stage(_verified(more, keyed, classes, words, num, den), "tree-more")
+    return components(links.union(more).toDF("u", "v"))
+
+
 def _groups(docs: DataFrame, words: int, num: int, den: int, doc_id: str, text: str) -> DataFrame:
     """``d, h, n, rep`` of every row: its key, set size, and the least key that links reach (NULL without words)."""
     body = text_or_empty(text)
     keyed = docs.select(*_key(doc_id, text), body.alias("text"))
     counts = shingle_counts(keyed, words)
     profile = stage(_profile(keyed, words, num, den, counts), "tree-profile")
-    classes = profile.filter("n > 0").groupBy("digest").agg(
-        F.min(F.struct("d", "h")).alias("rep"), F.first("n").alias("n"), F.first("first").alias("first"),
-        F.first("bits").alias("bits"),
-    )
-    classes = stage(
-        classes.select(F.monotonically_increasing_id().alias("cid"), "digest", "rep.d", "rep.h", "n", "first", "bits"),
-        "tree-classes",
-    )
-    places = classes.select("cid", "n", F.explode("first").alias("token"))
+    classes = profile.filter("n > 0").groupBy("digest").agg(F.min(F.struct("d", "h")).alias("rep"))
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("cid"), "digest", "rep.d", "rep.h"), "tree-classes")
+    own = profile.select("d", "h", "n", "first").join(classes.select("cid", "d", "h"), ["d", "h"])
+    places = own.select("cid", "n", F.explode("first").alias("token"))
     shared = places.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo < hi")
-    alive = stage(places.join(shared.select("token"), "token"), "tree-alive")
-    links = stage(_verified(_hub_pairs(alive, num, den), keyed, classes, words, num, den), "tree-links")
-    comps = stage(components(links.toDF("u", "v")), "tree-comps")
-    more = stage(
-        _verified(_tree_pairs(alive, comps, classes, num, den), keyed, classes, words, num, den), "tree-more"
-    )
-    comps = components(links.union(more).toDF("u", "v"))
+    alive = places.join(shared.select("token", "lo"), "token").select("cid", "n", "lo").distinct()
+    comps = _links(stage(alive, "tree-alive"), profile, classes, keyed, words, num, den)
     named = classes.join(comps.toDF("cid", "root"), "cid", "left").select(
         F.coalesce("root", "cid").alias("root"), "digest", F.struct("d", "h").alias("rep")
     )
