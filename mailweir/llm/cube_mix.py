@@ -186,9 +186,11 @@ def mix(
 def _flight(spark: SparkSession, units: DataFrame, seed: int, turn: int, chunk: int) -> DataFrame:
     """One round: chunk what is undecided, fly each chunk, write the rows."""
     counts = units.groupBy("sid").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("chunks"))
-    chunked = units.join(counts, "sid").withColumn(
+    chunked = units.join(stage(counts, "mix-counts"), "sid").withColumn(
         "chunk", F.pmod(F.xxhash64("u", "size", F.lit(turn)), F.col("chunks")).cast("int")
     )
+    # Dealt by chunk, or the join's partitioning by source would put a hot source in one task.
+    chunked = chunked.repartition("sid", "chunk")
     flown = chunked.groupBy("sid", "chunk").applyInPandas(_balance(seed, turn), chunked.schema)
     path = run_dir(spark, f"mix-{turn}")
     flown.write.parquet(path)
