@@ -170,7 +170,9 @@ def judge(
         .groupBy("host", F.when(F.col("fit.verdict") == "allow", "trust").otherwise("distrust").alias("kind"))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    scores = propagate(stage(host_edges(judged), "trust-edges"), stage(seeds, "trust-found"), rounds=rounds)
+    edges, seeds = stage(host_edges(judged), "trust-edges"), stage(seeds, "trust-found")
+    # Written first, so that the pages of a hot host can be split over tasks.
+    scores = stage(propagate(edges, seeds, rounds=rounds), "trust-scores")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     own = F.when(distrust - trust > threshold, "block").otherwise("allow")
     return judged.join(scores, "host", "left").select(

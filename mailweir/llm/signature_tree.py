@@ -374,8 +374,10 @@ def _walked(rows: DataFrame, bitmaps: DataFrame, num: int, den: int, words: int,
 def _tree_rows(alive: DataFrame) -> DataFrame:
     """Classes of each tree, with large trees cut into pairs of parts."""
     rows = alive.withColumnRenamed("lo", "tree")
-    parts = rows.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    cut = rows.join(parts, "tree").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")).withColumn(
+    parts = rows.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).filter("parts > 1")
+    # Written first, so that the join's large side can be split by itself.
+    sized = rows.join(stage(parts, "tree-parts"), "tree", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    cut = sized.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
     return cut.select(
