@@ -19,11 +19,13 @@ The files are Parquet, so any store Spark reaches will do. One row is a block:
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,8 +40,11 @@ WIDTHS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = (1 << 60) - 1
 #: Ids gathered before a block is closed; documents are never cut.
 BLOCK_IDS = 1 << 17
-#: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
+#: Words whose ids a task remembers, and bytes of text it encodes at a time.
+CACHE_WORDS = 500_000
+PIECE_BYTES = 12 << 20
+# What may follow the letters of a word: no apostrophe, which the tokenizer joins with some letters.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
 
 BLOCKS = (
     "shard int, block int, base bigint, doc_ids array<bigint>, lengths array<bigint>, "
@@ -122,34 +127,102 @@ def unpack(words: bytes, escapes: bytes, n_ids: int) -> np.ndarray:
     return ids
 
 
+def _listed(values: pa.Array) -> list:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Encoder:
     """Ids of texts, with the words met so far remembered.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its pieces between spaces and line feeds. Rarer white space stays inside a piece.
+    The tokenizer lower-cases, drops white space and cuts at the border of letters and other
+    characters, so a text's ids are those of its pieces between spaces and line feeds, and a
+    word's are those of its letters and of the marks behind them. Texts are cut and their
+    distinct pieces found by Arrow. Runs of letters are new most often; they are encoded
+    many at a time and told apart by the ids that end a word. Anything unusual inside a
+    piece (digits, an apostrophe, rarer white space) is left to the tokenizer as it stands.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        self.known.update(zip(new, self._ids(new)))
-        ids = self.known.__getitem__
-        for words in cut:
-            yield b"".join(map(ids, words))
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.letters: dict[str, bytes] = {}
+        self.whole: dict[str, bytes] = {}
+
+    def _plainly(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _learn_letters(self, words: list[str]) -> None:
+        for lo in range(0, len(words), 1000):
+            some = words[lo : lo + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(some) and stops[-1] == len(ids):
+                data, edges = ids.tobytes(), [0, *(4 * stops).tolist()]
+                self.letters.update((w, data[x:y]) for w, x, y in zip(some, edges, edges[1:]))
+            else:
+                self.letters.update(zip(some, self._plainly(some)))
+
+    def _ids_of(self, pieces: list[str], letters: list[bool]) -> list[bytes]:
+        for store in (self.letters, self.whole):
+            if len(store) > CACHE_WORDS:
+                store.clear()
+        self._learn_letters([x for x, plain in zip(pieces, letters) if plain and x not in self.letters])
+        new = [x for x, plain in zip(pieces, letters) if not plain and x not in self.whole]
+        self.whole.update(zip(new, self._plainly(new)))
+        return [self.letters[x] if plain else self.whole[x] for x, plain in zip(pieces, letters)]
+
+    def _cut(self, words: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of all pieces, the last of which is empty, and each word's two pieces."""
+        # Some letters depend on their place when lowered, special tokens on their case: left alone.
+        kept = pc.match_substring_regex(words, "[\u03a3\u0130]|<\\|")
+        lowered = pc.if_else(kept, words, pc.utf8_lower(words))
+        core = pc.utf8_rtrim(lowered, characters=_MARKS)
+        plain = pc.and_(pc.utf8_is_alpha(core), pc.invert(pc.match_substring(core, "\u0130")))
+        first = pc.if_else(plain, core, lowered).dictionary_encode()
+        longer = np.flatnonzero(pc.not_equal(pc.binary_length(lowered), pc.binary_length(first.cast(pa.string()))))
+        rows = pa.array(longer)
+        lengths = _listed(pc.utf8_length(core.take(rows)))
+        marks = pa.array([w[n:] for w, n in zip(_listed(lowered.take(rows)), lengths)], pa.string()).dictionary_encode()
+        names = first.dictionary
+        letters = pc.and_(pc.utf8_is_alpha(names), pc.invert(pc.match_substring(names, "\u0130")))
+        found = self._ids_of(_listed(names), _listed(letters))
+        found += self._ids_of(_listed(marks.dictionary), [False] * len(marks.dictionary))
+        second = np.full(len(words), len(found), np.int64)
+        second[longer] = marks.indices.to_numpy(zero_copy_only=False) + len(names)
+        return [*found, b""], first.indices.to_numpy(zero_copy_only=False), second
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        place = coded.indices.to_numpy(zero_copy_only=False)
+        found, first, second = self._cut(coded.dictionary)
+        pieces = np.stack([first[place], second[place]], axis=1).ravel()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[pieces]
+        ends = np.cumsum(each)
+        where = np.repeat(starts[pieces] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)
+        words = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], ends])[2 * np.cumsum(words)]
+        return np.frombuffer(b"".join(found), "<u4")[where], np.diff(upto, prepend=0)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches of bounded text, a text at least."""
+    sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(sizes, before + PIECE_BYTES, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
 
 
 def write_ids(
@@ -185,16 +258,17 @@ def write_ids(
                 [pa.array(v, f.type) for v, f in zip(row, _BLOCKS)], schema=_BLOCKS
             )
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                piece = batch.slice(lo, 256).to_pydict()
-                for name, found in zip(piece["doc_id"], encoder.encode(piece["text"])):
-                    names.append(name)
-                    ids.append(found + end)
-                    held += len(found) // 4 + 1
-                    if held >= block_ids:
-                        yield close()
-                        block, base, held, names, ids = block + 1, base + held, 0, [], []
+        for piece in (p for batch in batches for p in _pieces(batch)):
+            found, sizes = encoder.encode(piece.column("text"))
+            data, at = memoryview(found.astype("<u4").tobytes()), 0
+            for name, n in zip(piece.column("doc_id").to_pylist(), sizes.tolist()):
+                names.append(name)
+                ids.append(b"".join((data[at : at + 4 * n], end)))
+                at += 4 * n
+                held += n + 1
+                if held >= block_ids:
+                    yield close()
+                    block, base, held, names, ids = block + 1, base + held, 0, [], []
         if names:
             yield close()
 
