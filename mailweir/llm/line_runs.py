@@ -65,7 +65,8 @@ def line_places(keyed: DataFrame) -> DataFrame:
 def _named(places: DataFrame, *keys: str) -> DataFrame:
     """Keep places whose keys occur at more than one place, ranked by the first of them."""
     ranks = places.groupBy(*keys).agg(F.min(_place()).alias("rank"), F.max(_place()).alias("_last"))
-    return places.join(ranks.filter("rank < _last").drop("_last"), list(keys))
+    # Written first, so that the places of a frequent line can be split over tasks.
+    return places.join(stage(ranks.filter("rank < _last").drop("_last"), "runs-ranks"), list(keys))
 
 
 def _later() -> Column:
