@@ -7,12 +7,12 @@ rank is an interval of the suffix array with a common prefix of that length. A r
 named by the first place that has it. Places whose run occurs nowhere else drop out at
 each step, which leaves the repeated text only.
 
-A run is worth deleting from ``min_words`` words on. The shortest such prefix at each
-place has a known number of lines, m; its interval follows from the ranks of the two
-overlapping power-of-two runs that cover it, so doubling stops at m, which is
-``min_words`` at most. Every place of an interval but the first starts a later copy. The
-places of a maximal repeated run all start such copies, so the union of the copies is the
-union of the later copies of all maximal runs, whatever their length.
+A run is worth deleting from ``min_words`` words on. Looked at are the shortest such run that
+starts at each place and the shortest that ends there; they have a known number of lines, m, and
+their interval follows from the ranks of the two overlapping power-of-two runs that cover
+them, so doubling stops at m, which is ``min_words`` at most. Every run of an interval but the
+first is a later copy. Every line of a maximal repeated run lies in one of its shortest runs,
+by its start or by its end, so the union of their later copies is that of the maximal runs'.
 
 Everything is SQL. Ranks are found by aggregation before a join, so a line that fills a third
 of the corpus is one row per task and rank.
@@ -73,26 +73,37 @@ def _later() -> Column:
     return _place() > F.col("rank")
 
 
-def later_copies(places: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs ``d, h, seq, m`` of ``m`` lines that stand earlier in the corpus as well."""
+def shortest_runs(places: DataFrame, min_words: int) -> DataFrame:
+    """``d, h, seq, m``: for each line the shortest runs of ``min_words`` words that start or end there."""
     document = Window.partitionBy("d", "h")
     start = F.sum("words").over(document.orderBy("seq")) - F.col("words")
-    # The prefix holds the lines that start before its words are complete.
-    prefix = document.orderBy("start").rangeBetween(0, min_words - 1)
+    # From a line on: the lines that start before its words are complete; and the mirror image.
+    after = document.orderBy("start").rangeBetween(0, min_words - 1)
+    before = document.orderBy("end").rangeBetween(1 - min_words, 0)
     sized = (
         places.withColumn("start", start)
-        .withColumn("m", F.count(F.lit(1)).over(prefix))
-        .withColumn("full", F.max(F.col("start") + F.col("words")).over(prefix) >= F.col("start") + min_words)
-        .withColumn("m", F.when(F.col("full"), F.col("m")))
-        .select("d", "h", "seq", "a", "b", "m")
+        .withColumn("end", F.col("start") + F.col("words"))
+        .select(
+            "d", "h", "seq",
+            F.when(F.max("end").over(after) - F.col("start") >= min_words, F.count(F.lit(1)).over(after)).alias("on"),
+            F.when(F.col("end") - F.min("start").over(before) >= min_words, F.count(F.lit(1)).over(before)).alias("back"),
+        )
     )
-    runs = _named(sized, "a", "b").select("d", "h", "seq", "m", "rank")
+    forward = F.struct(F.col("seq").alias("seq"), F.col("on").alias("m"))
+    backward = F.struct((F.col("seq") - F.col("back") + 1).cast("int").alias("seq"), F.col("back").alias("m"))
+    return sized.select("d", "h", F.inline(F.array(forward, backward))).filter("m is not null").distinct()
+
+
+def later_copies(places: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Runs ``d, h, seq, m`` of ``m`` lines that stand earlier in the corpus as well."""
+    runs = stage(_named(places, "a", "b").select("d", "h", "seq", "rank"), "runs-1")
+    wanted = shortest_runs(places, min_words).join(runs.select("d", "h", "seq"), ["d", "h", "seq"], "left_semi")
+    wanted = stage(wanted, "runs-wanted")
     copies = []
     length = 1
     while True:
-        runs = stage(runs, f"runs-{length}")
         # Runs of `length` to `2 * length - 1` lines are covered by two of `length`.
-        here = runs.filter((F.col("m") >= length) & (F.col("m") < 2 * length))
+        here = wanted.filter((F.col("m") >= length) & (F.col("m") < 2 * length)).join(runs, ["d", "h", "seq"])
         if length > 1:
             tails = runs.select("d", "h", F.col("seq").alias("tail"), F.col("rank").alias("rank_tail"))
             covered = here.withColumn("tail", F.col("seq") + F.col("m") - length).join(tails, ["d", "h", "tail"])
@@ -104,12 +115,12 @@ def later_copies(places: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         if 2 * length > min_words:
             break
         # The rank of the run that follows, if its place is still there.
-        ahead = document.orderBy("seq").rangeBetween(length, length)
+        ahead = Window.partitionBy("d", "h").orderBy("seq").rangeBetween(length, length)
         pairs = runs.select(
-            "d", "h", "seq", "m", F.col("rank").alias("rank_one"), F.max("rank").over(ahead).alias("rank_next")
+            "d", "h", "seq", F.col("rank").alias("rank_one"), F.max("rank").over(ahead).alias("rank_next")
         ).filter("rank_next is not null")
-        runs = _named(pairs, "rank_one", "rank_next").select("d", "h", "seq", "m", "rank")
         length *= 2
+        runs = stage(_named(pairs, "rank_one", "rank_next").select("d", "h", "seq", "rank"), f"runs-{length}")
     found = copies[0]
     for more in copies[1:]:
         found = found.unionByName(more)
