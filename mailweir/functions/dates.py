@@ -143,6 +143,11 @@ def iso_instant(iso: Column) -> Column:
     return iso.try_cast("timestamp")
 
 
+def utc_day(ts: Column | str) -> Column:
+    """The day of an instant in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+
+
 def iso_to_day(iso: Column) -> Column:
     """The UTC day of ISO text with an offset."""
-    return F.to_date(iso_instant(iso))
+    return utc_day(iso_instant(iso))

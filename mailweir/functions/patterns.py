@@ -45,9 +45,14 @@ _MARKUP_PARTS = (
     r"[!?][^>]*>",
     r"/[a-z][^>]*>",
 )
-_START_TAG_RE2 = r"""[a-z][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>"""
+# A quote delimits a value right after "=" only; elsewhere it is a character like any other.
+_START_TAG_RE2 = (
+    r"""[a-z][^>=]*(?:=[ \t\n\r\f]*(?:"[^"]*"[^>=]*|'[^']*'[^>=]*|[^ \t\n\r\f>"'=][^ \t\n\r\f>]*[^>=]*)?)*>"""
+)
 # The same language; possessive repetition keeps Java from recursing on long tags.
-_START_TAG_JAVA = r"""[a-z][^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
+_START_TAG_JAVA = (
+    r"""[a-z][^>=]*+(?:=[ \t\n\r\f]*+(?:"[^"]*+"[^>=]*+|'[^']*+'[^>=]*+|[^ \t\n\r\f>"'=][^ \t\n\r\f>]*+[^>=]*+)?+)*+>"""
+)
 MARKUP_RE2 = "(?is)<(?:" + "|".join((*_MARKUP_PARTS, _START_TAG_RE2)) + ")"
 MARKUP_JAVA = "(?is)<(?:" + "|".join((*_MARKUP_PARTS, _START_TAG_JAVA)) + ")"
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailweir.functions.dates import utc_day
 from mailweir.operators.profile import date_range, direction
 from mailweir.operators.screen import as_instant
 
@@ -27,7 +28,7 @@ def plan_increment(
         raise ValueError(f"unknown mode: {mode}")
     at = as_instant(cutoff)
     latest = F.col("latest")
-    day = lambda c: F.to_date(c)
+    day = lambda c: utc_day(c)
     newer = latest + F.lit(GAP) if mode == "reference" else latest
     historical = F.lit(mode == "reference") & (at < latest)
     return date_range(mail).select(

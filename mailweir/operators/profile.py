@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mailweir.functions.dates import utc_day
 from mailweir.functions.text import code_points, is_keyword, long_words, size_or_zero
 from mailweir.operators.combine import known_hits
 from mailweir.operators.order import top_k
@@ -43,7 +44,7 @@ def top_senders(mail: DataFrame, k: int = 5) -> DataFrame:
 def daily(mail: DataFrame) -> DataFrame:
     """Messages per UTC day; those without a date form a group of their own."""
     return (
-        mail.groupBy(F.to_date("parsed_ts").alias("day"))
+        mail.groupBy(utc_day("parsed_ts").alias("day"))
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col("day").asc_nulls_first())
     )
@@ -166,7 +167,7 @@ def with_category(
 
 def category_daily(categorised: DataFrame) -> DataFrame:
     return (
-        categorised.groupBy(F.to_date("parsed_ts").alias("day"), "category")
+        categorised.groupBy(utc_day("parsed_ts").alias("day"), "category")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col("day").asc_nulls_first(), "category")
     )

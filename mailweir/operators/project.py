@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailweir.functions.binding import compute_once
-from mailweir.functions.dates import with_mail_date
+from mailweir.functions.dates import utc_day, with_mail_date
 from mailweir.functions.text import decode_and_extract
 
 # The part types that carry readable text.
@@ -62,7 +62,7 @@ def to_mail(scanned: DataFrame, *extra: str) -> DataFrame:
         decode_and_extract(pick_body(F.col("payload"))).alias("body"),
         F.lit("success").alias("status"),
         "snippet", "labelIds",
-        F.to_date("parsed_ts").alias("mail_date"),
+        utc_day("parsed_ts").alias("mail_date"),
         *extra,
     )
 

@@ -48,7 +48,7 @@ def matching_senders(df: DataFrame, allow: DataFrame, sender: str = "from") -> D
     list, and the pieces are looked up by equality. That is substring search as
     a hash join: no sender is compared with every entry.
     """
-    lengths = [r[0] for r in allow.select(F.length("sender")).distinct().collect()]
+    lengths = _strings([r[0] for r in allow.select(F.length("sender")).distinct().collect()], int)
     senders = df.select(F.coalesce(F.col(sender), F.lit("")).alias("_sender")).distinct()
     pieces = F.flatten(
         F.transform(
@@ -67,12 +67,19 @@ def matching_senders(df: DataFrame, allow: DataFrame, sender: str = "from") -> D
     return cut.join(wanted, "_piece", "left_semi").select("_sender").distinct()
 
 
+def _strings(entries: list, kind: type = str) -> list:
+    """The entries, none of which may be missing: it would match nothing and hide its fault."""
+    if not all(isinstance(e, kind) for e in entries):
+        raise ValueError("an allowlist entry must be a string")
+    return entries
+
+
 def _inline(allow: DataFrame | Sequence[str], limit: int) -> list[str] | None:
     if not isinstance(allow, DataFrame):
-        entries = list(allow)
+        entries = _strings(list(allow))
     else:
         entries = [r[0] for r in allow.select("sender").limit(limit + 1).collect()]
-    return entries if len(entries) <= limit else None
+    return _strings(entries) if len(entries) <= limit else None
 
 
 def _as_entries(df: DataFrame, allow: DataFrame | Sequence[str]) -> DataFrame:

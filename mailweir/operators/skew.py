@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailweir.session import stage
+
 #: At most this many keys are salted; a key outside the list is a small share of the rows.
 HOT_KEYS = 256
 #: Counters kept by each frequent-items sketch. Any key above 1/3000 of the rows is found.
@@ -31,7 +33,10 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
         .groupBy("_group")
         .agg(call("approx_top_k_accumulate", F.col("_key"), counters).alias("_sketch"))
     )
-    merged = sketches.agg(call("approx_top_k_combine", F.col("_sketch"), counters).alias("_sketch"))
+    # Grouped, if only by a constant: a table without rows has no sketch to merge.
+    merged = sketches.groupBy(F.lit(0).alias("_one")).agg(
+        call("approx_top_k_combine", F.col("_sketch"), counters).alias("_sketch")
+    )
     top = call("approx_top_k_estimate", F.col("_sketch"), F.lit(HOT_KEYS))
     return (
         merged.select(F.explode(top).alias("_t"))
@@ -51,7 +56,9 @@ def salted_join(
     meets exactly its own match. Rows with a NULL key match nothing and are
     spread as well. The broadcast side has at most ``HOT_KEYS`` rows.
     """
-    hot = F.broadcast(hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True)))
+    # Written once: both sides have to be spread by the same list.
+    listed = stage(hot_keys(left, key, min_rows).withColumn("_hot", F.lit(True)), "hot-keys")
+    hot = F.broadcast(listed)
     spread = F.pmod(F.spark_partition_id(), F.lit(salts))
     numbered = left.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))

@@ -65,6 +65,22 @@ def stream_batches(spark, sf):
     )
 
 
+def stream_progress(spark, sf):
+    """Progress of more batches than Spark remembers."""
+    root, limit = run_dir(spark, "stream"), "spark.sql.streaming.numRecentProgressUpdates"
+    write_raw(D.raw_documents(spark, sf, bodies=False).repartition(2 * FILES, "pos"), f"{root}/landing")
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "3")
+    try:
+        query = ingest_landed(
+            spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW, files_per_batch=1,
+        )
+    finally:
+        spark.conf.set(limit, before)
+    filled = progress_rows(spark, query).filter("input_rows > 0")
+    return filled.agg(F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"))
+
+
 def stream_table(spark, sf):
     """A given table itself as the stream."""
     root = run_dir(spark, "stream")
@@ -83,7 +99,9 @@ def stream_table(spark, sf):
     return read_mail(spark, f"{root}/mail").select("id", F.length("subject").cast("bigint").alias("length"))
 
 
-QUERIES = {f.__name__: f for f in (stream_ingest, stream_resume, stream_batches, stream_table)}
+QUERIES = {f.__name__: f for f in (
+    stream_ingest, stream_resume, stream_batches, stream_progress, stream_table,
+)}
 
 ORACLE = {
     "stream_ingest": over_scan(
@@ -92,5 +110,6 @@ FROM scanned WHERE {D.DATED_SQL} AND {D.MATCH_SQL} GROUP BY id"""
     ),
     "stream_resume": "SELECT count(*) AS input_rows FROM documents",
     "stream_batches": f"SELECT CAST({FILES // FILES_PER_BATCH} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
+    "stream_progress": f"SELECT CAST({2 * FILES} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
     "stream_table": over_mail("SELECT id, any_value(n_chars) AS length FROM mail GROUP BY id"),
 }

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailweir.functions.dates import utc_day
 from mailweir.operators.combine import insertable
 from mailweir.operators.project import stamp_import
 from mailweir.sources.tables import DAY, read_mail, write_mail
@@ -25,12 +26,21 @@ class LoadStats:
 
 
 def candidate_days(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored rows of the days the batch touches, for ids that never change their day."""
-    low, high, undated = incoming.agg(
-        F.min(DAY), F.max(DAY), F.count_if(F.col(DAY).isNull())
-    ).first()
-    inside = F.col(DAY).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
-    return stored.filter(inside | F.col(DAY).isNull() if undated else inside)
+    """Stored rows of the days the batch touches, for ids that never change their day.
+
+    The days are a list, as many as the calendar has at most, so one message with an odd
+    date adds its day and no other.
+    """
+    days = [r[0] for r in incoming.select(DAY).distinct().collect()]
+    dated = [d for d in days if d is not None]
+    inside = F.col(DAY).isin(dated) if dated else F.lit(False)
+    return stored.filter(inside | F.col(DAY).isNull() if None in days else inside)
+
+
+def arrival_order(incoming: DataFrame) -> list[Column]:
+    """Earliest ``internalDate`` as a number first, without one last; ties by the whole record."""
+    arrived = F.col("internalDate").try_cast("bigint").asc_nulls_last()
+    return [arrived, F.xxhash64(*[F.col(f"`{c}`") for c in incoming.columns])]
 
 
 def append_new(
@@ -42,10 +52,11 @@ def append_new(
 
 
 def load_insert_only(
-    incoming: DataFrame, table: str, order: Sequence[str | Column] = ("internalDate",),
+    incoming: DataFrame, table: str, order: Sequence[str | Column] | None = None,
     fixed_days: bool = False, at: dt.datetime | None = None,
 ) -> LoadStats:
-    """Append the rows whose id the table lacks; of repeated ids the first in ``order``.
+    """Append the rows whose id the table lacks; of repeated ids the first in ``order``,
+    by default that of arrival.
 
     The table is a plain folder, so uniqueness holds for one writer at a time.
     Loading the same rows again adds nothing, which makes a repeated or
@@ -53,18 +64,18 @@ def load_insert_only(
     that only the days the batch touches are searched for its ids.
     """
     offered = incoming if DAY in incoming.columns else incoming.withColumn(
-        DAY, F.to_date("parsed_ts")
+        DAY, utc_day("parsed_ts")
     )
     stored = read_mail(incoming.sparkSession, table)
     total, failed = offered.agg(F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
     valid = offered.filter(F.col("id").isNotNull())
     searched = candidate_days(stored, valid) if fixed_days else stored
-    return append_new(insertable(valid, searched, order), table, total, failed, at)
+    return append_new(insertable(valid, searched, order or arrival_order(valid)), table, total, failed, at)
 
 
 def sync(
     spark: SparkSession, source: str, target: str,
-    order: Sequence[str | Column] = ("internalDate",),
+    order: Sequence[str | Column] | None = None,
 ) -> tuple[LoadStats, bool]:
     """Insert into ``target`` what it lacks of ``source``; whether the counts then agree."""
     a = read_mail(spark, source)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from mailweir.functions.dates import iso_instant
+from mailweir.functions.dates import iso_instant, utc_day
 from mailweir.functions.text import nullish_default
 from mailweir.schemas import BODY, MAIL, MAIL_JSON
 
@@ -26,7 +26,7 @@ def conform(mail: DataFrame) -> DataFrame:
     """Bring columns into table order; a column the input lacks is NULL."""
     missing_day = DAY not in mail.columns
     if missing_day:
-        mail = mail.withColumn(DAY, F.to_date("parsed_ts"))
+        mail = mail.withColumn(DAY, utc_day("parsed_ts"))
     have = set(mail.columns)
     return mail.select(
         *[

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from mailweir.plans.ingest import screened_mail
 from mailweir.schemas import RAW
 from mailweir.sources.load import load_insert_only
+from mailweir.streaming.progress import keep_progress
 
 
 def read_stream(
@@ -33,7 +34,7 @@ def read_stream(
 
 def start_ingest(
     stream: DataFrame, to_records: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
-    order: Sequence[str | Column] = ("internalDate",), continuous: str | None = None,
+    order: Sequence[str | Column] | None = None, continuous: str | None = None,
     fixed_days: bool = False,
 ) -> StreamingQuery:
     """Load a stream into a mail table.
@@ -45,7 +46,12 @@ def start_ingest(
     date, and narrows that to the days the batch touches.
     """
 
+    kept: dict = {}
+    running: list[StreamingQuery] = []
+
     def load(batch: DataFrame, _: int) -> None:
+        # Spark forgets the progress of early batches; each batch keeps that of those before it.
+        keep_progress(kept, running)
         # The load looks at its input several times. The batch is bounded by the
         # admission limit and spills to disk; a lost block is read again from source.
         records = to_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -55,9 +61,11 @@ def start_ingest(
             records.unpersist()
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    if continuous:
-        return writer.trigger(processingTime=continuous).start()
-    return writer.trigger(availableNow=True).start()
+    trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
+    query = writer.trigger(**trigger).start()
+    query.kept_progress = kept
+    running.append(query)
+    return query
 
 
 def ingest_landed(
