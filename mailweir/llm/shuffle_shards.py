@@ -95,7 +95,7 @@ def op5_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "shards")
     docs = table(spark, sf_dir, "documents")
     write_shards(docs, path)
-    written = spark.read.schema(f"doc_id bigint, text string, slot bigint, shard int").parquet(path)
+    written = spark.read.schema("doc_id bigint, text string, slot bigint, shard int").parquet(path)
     return written.select(
         "doc_id", (text_bytes() + OVERHEAD).alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"),
