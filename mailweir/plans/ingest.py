@@ -15,12 +15,12 @@ from mailweir.operators.combine import first_wins
 from mailweir.operators.increment import plan_increment
 from mailweir.operators.profile import run_stats
 from mailweir.operators.project import named_headers, scan_headers, to_mail
-from mailweir.operators.screen import as_instant, cutoff, outcome, sender_allow
+from mailweir.operators.screen import INLINE_ENTRIES, as_instant, cutoff, outcome, sender_allow
 from mailweir.operators.sequence import early_stop, until_stop
 from mailweir.session import stage
 from mailweir.sources.load import LoadStats, append_new
 from mailweir.sources.runlog import log_rows, write_run_log, write_run_stats
-from mailweir.sources.snapshots import snapshot
+from mailweir.sources.snapshots import due, moment_of, retain, snapshot, snapshots
 from mailweir.sources.tables import read_mail
 
 
@@ -38,7 +38,7 @@ def screened_mail(
 
 def scan_outcomes(
     raw: DataFrame, known: DataFrame, moment: dt.datetime | str,
-    allow: DataFrame | Sequence[str], pos: str = "pos",
+    allow: DataFrame | Sequence[str], pos: str = "pos", inline: int = INLINE_ENTRIES,
 ) -> DataFrame:
     """The outcome of every scanned message; bodies are not read.
 
@@ -48,7 +48,7 @@ def scan_outcomes(
     scanned = stage(
         scan_headers(raw).select("id", pos, "from", "subject", "parsed_ts", "parsed_iso"), "scan"
     )
-    return outcome(scanned, known, moment, allow, pos)
+    return outcome(scanned, known, moment, allow, pos, inline)
 
 
 @dataclass(frozen=True)
@@ -61,13 +61,27 @@ class RunPaths:
     run_stats: str
 
 
+def _snapshot_if_due(
+    spark: SparkSession, paths: RunPaths, now: dt.datetime, every: dt.timedelta, keep: int | None
+) -> None:
+    taken = snapshots(spark, paths.snapshots)
+    if due(moment_of(taken[-1]) if taken else None, now, every, force=False):
+        snapshot(spark, paths.table, paths.snapshots, now)
+    if keep is not None:
+        retain(spark, paths.snapshots, keep)
+
+
 def run_ingest(
     spark: SparkSession, raw: DataFrame, paths: RunPaths, moment: dt.datetime | str,
     allow: DataFrame | Sequence[str], pos: str = "pos", run_id: str | None = None,
-    stop_after: int | None = None,
+    stop_after: int | None = None, snapshot_every: dt.timedelta = dt.timedelta(0),
+    keep_snapshots: int | None = None,
 ) -> LoadStats:
     """One batch run: snapshot the table, log every outcome, load what is new.
 
+    A snapshot is taken once ``snapshot_every`` has passed since the last one; with
+    ``keep_snapshots`` only that many are kept.
+
     ``raw`` carries the scan position in ``pos``, a number that decides which of
     several copies of a message is kept. With ``stop_after`` the scan ends at that many
     messages older than the cutoff with none kept between them; without it every
@@ -84,7 +98,7 @@ def run_ingest(
         stops = early_stop(scan, pos=pos, limit=stop_after)
         outcomes = stage(until_stop(scan, stops, pos=pos).drop("mailbox"), "outcomes")
     write_run_log(log_rows(outcomes, run_id), paths.run_log)
-    snapshot(spark, paths.table, paths.snapshots, started)
+    _snapshot_if_due(spark, paths, started, snapshot_every, keep_snapshots)
 
     # The outcomes name every message to be stored, one per id. A short list of them is
     # broadcast, so that no body is shuffled; a long one meets the bodies on unique keys.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,12 +12,53 @@ from mailweir.functions.text import nullish_default
 from mailweir.schemas import BODY, MAIL, MAIL_JSON
 
 DAY = "mail_date"
+#: An empty file in a table that has snapshots: what follows names the table's contents since
+#: they were last replaced. Readers of the table skip it.
+GENERATION = "_generation-"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system a path names, and the path in its terms."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists, on whatever file system it names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    fs, folder = file_system(spark, path)
+    return fs.exists(folder)
+
+
+def generation(spark: SparkSession, table: str, create: bool = False) -> str | None:
+    """The name of a table's contents since they were last replaced, given when first asked
+    for with ``create``."""
+    if path_exists(spark, table):
+        fs, folder = file_system(spark, table)
+        for status in fs.listStatus(folder):
+            if status.getPath().getName().startswith(GENERATION):
+                return status.getPath().getName()[len(GENERATION):]
+    if not create:
+        return None
+    name = uuid.uuid4().hex
+    fs, mark = file_system(spark, f"{table}/{GENERATION}{name}")
+    fs.create(mark).close()
+    return name
+
+
+def aside(table: str, name: str) -> str:
+    """Where a replaced table with snapshots is kept."""
+    return f"{table.rstrip('/')}-replaced/{name}"
+
+
+def set_aside(spark: SparkSession, table: str) -> None:
+    """Move a table that snapshots name out of the way, as one folder."""
+    name = generation(spark, table)
+    if name is None:
+        return
+    fs, kept = file_system(spark, aside(table, name))
+    fs.mkdirs(kept.getParent())
+    if not fs.rename(file_system(spark, table)[1], kept):
+        raise OSError(f"cannot move {table} to {kept}")
 
 
 def empty_mail(spark: SparkSession) -> DataFrame:
@@ -59,8 +102,11 @@ def write_mail(mail: DataFrame, path: str, mode: str = "overwrite") -> int:
 
     The rows are counted by the writing tasks themselves, after the last shuffle,
     where Spark counts a task once however often it is tried. Neither the input
-    nor the table has to be read again to know the number.
+    nor the table has to be read again to know the number. A replaced table that has
+    snapshots is moved aside for them.
     """
+    if mode == "overwrite":
+        set_aside(mail.sparkSession, path)
     written = Observation()
     counted = spread_by_day(conform(mail)).observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.mode(mode).partitionBy(DAY).parquet(path)
@@ -126,6 +172,6 @@ def write_mail_json(mail: DataFrame, path: str) -> None:
 
 
 __all__ = [
-    "conform", "empty_mail", "path_exists", "read_mail", "read_mail_json",
-    "spread_by_day", "write_mail", "write_mail_json",
+    "aside", "conform", "empty_mail", "file_system", "generation", "path_exists", "read_mail",
+    "read_mail_json", "set_aside", "spread_by_day", "write_mail", "write_mail_json",
 ]
