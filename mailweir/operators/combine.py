@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailweir.operators.skew import salted_join
+from mailweir.operators.skew import skew_join
 
 
 def distinct_ids(mail: DataFrame, key: str = "id") -> DataFrame:
@@ -23,13 +23,10 @@ def known_hits(
     the other way round lets a small batch be the broadcast side, so the store is
     scanned for its id column and not shuffled; a large batch is shuffled once.
     ``repeats`` says that one id may fill a large share of the store, which an
-    insert-only table rules out.
+    insert-only table rules out; such an id is then reduced by each map task to one row.
     """
-    wanted = distinct_ids(incoming, key)
-    ids = stored.select(key)
-    if repeats:
-        return salted_join(ids, wanted, key, "left_semi").distinct()
-    return ids.join(wanted, key, "left_semi").distinct()
+    ids = distinct_ids(stored, key) if repeats else stored.select(key)
+    return ids.join(distinct_ids(incoming, key), key, "left_semi").distinct()
 
 
 def skip_known(
@@ -37,7 +34,7 @@ def skip_known(
 ) -> DataFrame:
     """Incoming messages whose id is not stored; repeats inside them stay."""
     hits = known_hits(incoming, stored, key, repeats)
-    return salted_join(incoming, hits, key, "left_anti")
+    return skew_join(incoming, hits, key, "left_anti")
 
 
 def first_wins(df: DataFrame, order: Sequence[str | Column], key: str = "id") -> DataFrame:
@@ -76,20 +73,21 @@ def merge_new(
 
 def insertable(
     incoming: DataFrame, stored: DataFrame, order: Sequence[str | Column], key: str = "id",
-    repeats: bool = False,
+    repeats: bool = False, ids: DataFrame | None = None,
 ) -> DataFrame:
     """What an insert-only load adds: the first row of every id the store lacks.
 
     Once ids are unique no key is hot, and the anti-join reuses the partitioning
-    the de-duplication has made.
+    the de-duplication has made. ``ids`` are those of the incoming rows, if they are
+    at hand in a cheaper form.
     """
-    hits = known_hits(incoming, stored, key, repeats)
+    hits = known_hits(incoming if ids is None else ids, stored, key, repeats)
     return first_wins(incoming, order, key).join(hits, key, "left_anti")
 
 
 def sync_missing(a: DataFrame, b: DataFrame) -> DataFrame:
     """Messages of ``a`` that have to be inserted into ``b``."""
-    return salted_join(a, distinct_ids(b), "id", "left_anti")
+    return skew_join(a, distinct_ids(b), "id", "left_anti")
 
 
 def _presence(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailweir.operators.combine import known_hits
-from mailweir.operators.skew import salted_join
+from mailweir.operators.skew import skew_join
+from mailweir.session import stage
 
 #: Up to this many allowlist entries become a plain filter expression.
 INLINE_ENTRIES = 64
@@ -99,7 +100,7 @@ def with_sender_match(
         return df.withColumn(name, sender_contains(F.col(sender), entries))
     found = matching_senders(df, _as_entries(df, allow), sender).withColumn(name, F.lit(True))
     keyed = df.withColumn("_sender", F.coalesce(F.col(sender), F.lit("")))
-    joined = salted_join(keyed, found, "_sender", "left").drop("_sender")
+    joined = skew_join(keyed, found, "_sender", "left").drop("_sender")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
@@ -113,7 +114,7 @@ def sender_allow(
         return df.filter(sender_contains(F.col(sender), entries))
     found = matching_senders(df, _as_entries(df, allow), sender)
     keyed = df.withColumn("_sender", F.coalesce(F.col(sender), F.lit("")))
-    return salted_join(keyed, found, "_sender", "left_semi").drop("_sender")
+    return skew_join(keyed, found, "_sender", "left_semi").drop("_sender")
 
 
 def label_filter(df: DataFrame, labels: Sequence[str], column: str = "labelIds") -> DataFrame:
@@ -128,7 +129,7 @@ def missing(column: str) -> Column:
 
 def outcome(
     scanned: DataFrame, known: DataFrame, moment: dt.datetime | str,
-    allow: DataFrame | Sequence[str], pos: str = "pos",
+    allow: DataFrame | Sequence[str], pos: str = "pos", inline: int = INLINE_ENTRIES,
 ) -> DataFrame:
     """Label each scanned message: error, duplicate, cutoff, filtered or success.
 
@@ -136,9 +137,13 @@ def outcome(
     this scan. Ids are aggregated before anything is joined, and only ids that
     repeat take part, so copies of one message never gather in one task.
     """
-    flagged = with_sender_match(scanned, allow).withColumn(
-        "_dated_ok", after_cutoff(F.col("parsed_ts"), moment)
-    )
+    entries = _inline(allow, inline)
+    if entries is not None:
+        matched = with_sender_match(scanned, entries, inline=len(entries))
+    else:
+        # Matched by joins: done once, as the rows are looked at several times below.
+        matched = stage(with_sender_match(scanned, allow, inline=0), "matched")
+    flagged = matched.withColumn("_dated_ok", after_cutoff(F.col("parsed_ts"), moment))
     hits = known_hits(flagged, known)
     eligible = F.col("_dated_ok") & F.col("_sender_ok")
     repeats = (
@@ -153,7 +158,7 @@ def outcome(
         .groupBy("id")
         .agg(F.max("_known").alias("_known"), F.min("_first").alias("_first"))
     )
-    joined = salted_join(flagged, marks, "id", "left")
+    joined = skew_join(flagged, marks, "id", "left")
     label = (
         F.when(F.col("id").isNull(), "error")
         .when(F.col("_known") | (F.col(pos) > F.col("_first")), "duplicate")

@@ -2,7 +2,9 @@
 
 A sequence is cut into segments of consecutive positions. Work inside a segment
 is a window over at most ``chunk`` rows; what crosses segments is one summary
-row per segment.
+row per segment. Where positions are far apart there are as many summaries as rows, so
+these are cut in the same way again: after ``LEVELS`` cuts at most 1,024 summaries of a
+sequence are left, whatever 64-bit positions it has.
 """
 
 from __future__ import annotations
@@ -12,9 +14,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailweir.operators.skew import salted_join
+from mailweir.operators.skew import skew_join
 
 DEFAULT_CHUNK = 1 << 18
+LEVELS = 3
 
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -26,11 +29,12 @@ def _segment(pos: str, chunk: int):
 def prefix_scan(
     df: DataFrame, keys: Sequence[str], pos: str,
     outputs: Mapping[str, tuple[str, str]], chunk: int = DEFAULT_CHUNK, inclusive: bool = True,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """Running sum, max or min along ``pos`` (integers, unique per key).
 
     ``outputs`` maps a new column to ``(kind, column)``. With ``inclusive`` false
-    the current row is left out.
+    the current row is left out. ``levels`` is how often sequences are cut.
     """
     # The keys travel as one struct, which unlike its fields is never NULL: plain
     # equality then matches NULL keys and reuses the partitioning of the window.
@@ -43,11 +47,20 @@ def prefix_scan(
     totals = split.groupBy("_key", "_seg").agg(
         *[_COMBINE[kind](col).alias(f"_t_{out}") for out, (kind, col) in outputs.items()]
     )
-    carried = totals.select(
-        "_key", "_seg",
-        *[_COMBINE[kind](f"_t_{out}").over(before).alias(f"_c_{out}")
-          for out, (kind, _) in outputs.items()],
-    )
+    if levels > 1:
+        above = totals.select(
+            F.col("_key").alias("_above"), F.col("_seg").alias("_at"), *[f"_t_{out}" for out in outputs]
+        )
+        sums = {f"_c_{out}": (kind, f"_t_{out}") for out, (kind, _) in outputs.items()}
+        carried = prefix_scan(above, ["_above"], "_at", sums, chunk, False, levels - 1).select(
+            F.col("_above").alias("_key"), F.col("_at").alias("_seg"), *sums
+        )
+    else:
+        carried = totals.select(
+            "_key", "_seg",
+            *[_COMBINE[kind](f"_t_{out}").over(before).alias(f"_c_{out}")
+              for out, (kind, _) in outputs.items()],
+        )
     local = split.withColumns(
         {f"_l_{out}": _COMBINE[kind](col).over(inside) for out, (kind, col) in outputs.items()}
     )
@@ -105,14 +118,18 @@ def early_stop(
             for n in range(1, limit + 1)
         ],
     )
-    by_segment = Window.partitionBy("_box").orderBy("_seg")
-    so_far = by_segment.rowsBetween(Window.unboundedPreceding, 0)
-    grouped = segments.withColumn("_group", F.sum("_has_kept").over(so_far))
-    in_group = Window.partitionBy("_box", "_group").orderBy("_seg").rowsBetween(
-        Window.unboundedPreceding, 0
+    # What comes into a segment: the old messages in the tails before it, less those before
+    # the tail of the last segment that holds a kept one.
+    segments = segments.withColumnRenamed("_seg", "_at")
+    scan_up = lambda df, out, kind, col: prefix_scan(
+        df, ["_box"], "_at", {out: (kind, col)}, chunk, False, LEVELS - 1
+    )
+    before = F.coalesce("_before", F.lit(0))
+    tailed = scan_up(segments, "_before", "sum", "_tail").withColumn(
+        "_start", F.when(F.col("_has_kept") == 1, before)
     )
-    carried = grouped.withColumn("_run_out", F.sum("_tail").over(in_group)).withColumn(
-        "_carry", F.coalesce(F.lag("_run_out").over(by_segment), F.lit(0))
+    carried = scan_up(tailed, "_last", "max", "_start").withColumn(
+        "_carry", before - F.coalesce("_last", F.lit(0))
     )
     # The run stops in this segment's lead at its (limit - carry)-th old message. A carry of
     # the limit or more means an earlier segment has stopped already.
@@ -131,7 +148,7 @@ def until_stop(
     scan: DataFrame, stops: DataFrame, mailbox: str = "mailbox", pos: str = "pos"
 ) -> DataFrame:
     """The messages a scan sees before it stops; all of them for a mailbox that does not."""
-    joined = salted_join(scan, stops, mailbox, "left")
+    joined = skew_join(scan, stops, mailbox, "left")
     return joined.filter(
         F.col("stop_pos").isNull() | (F.col(pos) <= F.col("stop_pos"))
     ).drop("stop_pos")

@@ -45,6 +45,21 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join a table with repeated keys to one whose keys are unique: left, semi or anti.
+
+    In such joins adaptive execution splits a hot key's left rows at run time, from sizes it
+    has measured, so the left side is not read beforehand to find them. It can where both
+    sides are shuffled for the join itself; the right side, which mostly comes out of an
+    aggregation by the same key, is therefore written first. With adaptive execution
+    switched off the salt does it. The rows are the same.
+    """
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    if all(left.sparkSession.conf.get(s) == "true" for s in settings):
+        return left.join(stage(right, "keys"), key, how)
+    return salted_join(left, right, key, how)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, how: str,
     min_rows: int = HOT_ROWS, salts: int = SALTS,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from mailweir.functions.dates import utc_day
 from mailweir.operators.combine import insertable
 from mailweir.operators.project import stamp_import
+from mailweir.session import stage
 from mailweir.sources.tables import DAY, read_mail, write_mail
 
 
@@ -67,10 +68,14 @@ def load_insert_only(
         DAY, utc_day("parsed_ts")
     )
     stored = read_mail(incoming.sparkSession, table)
-    total, failed = offered.agg(F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
+    # Ids and days are read out once; what is counted and looked up, is so in them.
+    heads = stage(offered.select("id", DAY), "load-heads")
+    total, failed = heads.agg(F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
+    known = heads.filter(F.col("id").isNotNull())
+    searched = candidate_days(stored, known) if fixed_days else stored
     valid = offered.filter(F.col("id").isNotNull())
-    searched = candidate_days(stored, valid) if fixed_days else stored
-    return append_new(insertable(valid, searched, order or arrival_order(valid)), table, total, failed, at)
+    new = insertable(valid, searched, order or arrival_order(valid), ids=known)
+    return append_new(new, table, total, failed, at)
 
 
 def sync(

@@ -322,3 +322,46 @@ def test_increment_keeps_undated(spark):
     mail = mail_of(spark, "2024-11-13", "2024-11-14", "2024-11-20", None).withColumn("mail_date", F.to_date("parsed_ts"))
     window = increment.apply_increment(mail, dt.date(2024, 11, 14), dt.date(2024, 11, 20))
     assert rows(window.select("id")) == [("m1",), ("m3",)]
+
+
+@pytest.mark.parametrize("gap", [1, 7, 300_000])
+def test_sparse_positions_stop_at_the_same_message(spark, gap):
+    outcomes = [["cutoff", "success", "filtered", "cutoff"][n * n * 7 % 11 % 4] for n in range(60)]
+    outcomes += ["cutoff"] * 3 + ["filtered"] * 9 + ["cutoff"] * 9
+    scan = spark.createDataFrame([("m", gap * n, o) for n, o in enumerate(outcomes)], "mailbox string, pos bigint, outcome string")
+    run, want = 0, None
+    for n, o in enumerate(outcomes):
+        run = 0 if o == "success" else run + (o == "cutoff")
+        want = n if want is None and run == 5 else want
+    for chunk in (2, 5, 1 << 18):
+        assert [tuple(r) for r in sequence.early_stop(scan, chunk=chunk).collect()] == [("m", gap * want)]
+
+
+def test_no_window_holds_a_sparse_sequence(spark):
+    rows = spark.range(3000).select((F.col("id") * 300_000 + 1_700_000_000_000).alias("pos"), F.col("id").alias("v"))
+    got = sequence.prefix_scan(rows, [], "pos", {"s": ("sum", "v")}, chunk=64).orderBy("pos").collect()
+    assert [r["s"] for r in got] == [n * (n + 1) // 2 for n in range(3000)]
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )
+        right = left.select("k").distinct()
+        for how in ("left", "left_semi", "left_anti"):
+            joined = skew.skew_join(left, right, "k", how)
+            assert len(joined.collect()) == (0 if how == "left_anti" else 60_000)
+            assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
