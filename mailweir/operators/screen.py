@@ -153,7 +153,7 @@ def outcome(
         .filter((F.col("_n") > 1) & F.col("_first").isNotNull())
     )
     marks = (
-        hits.select("id", F.lit(True).alias("_known"), F.lit(None).cast("bigint").alias("_first"))
+        hits.select("id", F.lit(True).alias("_known"), F.lit(None).cast(flagged.schema[pos].dataType).alias("_first"))
         .unionByName(repeats.select("id", F.lit(None).cast("boolean").alias("_known"), "_first"))
         .groupBy("id")
         .agg(F.max("_known").alias("_known"), F.min("_first").alias("_first"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailweir.operators.skew import skew_join
+from mailweir.session import stage
 
 DEFAULT_CHUNK = 1 << 18
 LEVELS = 3
@@ -120,7 +121,7 @@ def early_stop(
     )
     # What comes into a segment: the old messages in the tails before it, less those before
     # the tail of the last segment that holds a kept one.
-    segments = segments.withColumnRenamed("_seg", "_at")
+    segments = stage(segments.withColumnRenamed("_seg", "_at"), "segments")
     scan_up = lambda df, out, kind, col: prefix_scan(
         df, ["_box"], "_at", {out: (kind, col)}, chunk, False, LEVELS - 1
     )

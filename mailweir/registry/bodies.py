@@ -104,10 +104,19 @@ def to_mail_html(spark, sf):
     return rows.select("pos", "id", F.col("from").alias("sender"), "subject", *_shown(F.col("body")))
 
 
+def html_attributes(spark, sf):
+    """Tags of every way of quoting around text that must stay: the words of each page's url."""
+    words = F.regexp_replace("url", "[^a-z0-9]+", " ")
+    tags = ("<a title=it's>", "</a> ", "<b x='p > q' y=o'k>", "</b> ", '<i d="it\'s > 5" e>', "</i><br/>")
+    pieces = [F.lit(tags[0]), words, F.lit(tags[1]), F.lit(tags[2]), F.lit("two"), F.lit(tags[3]),
+              F.lit(tags[4]), F.col("page_id").cast("string"), F.lit(tags[5])]
+    return D.table(spark, sf, "pages", heavy=True).select("page_id", html.html_text(F.concat(*pieces)).alias("text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        pick_bodies, decode_body, transfer_decode, html_unescape, html_text, extract_urls,
+        html_attributes, pick_bodies, decode_body, transfer_decode, html_unescape, html_text, extract_urls,
         page_links, clean_text, structure_body, lengths, to_mail_plain, to_mail_html,
     )
 }
@@ -148,6 +157,7 @@ ORACLE = {
     ),
     "transfer_decode": "SELECT doc_id, text FROM documents",
     "html_unescape": f"SELECT page_id, {_unescape_sql('html')} AS text FROM pages",
+    "html_attributes": """SELECT page_id, trim(regexp_replace(url, '[^a-z0-9]+', ' ', 'g')) || ' two ' || page_id AS text FROM pages""",
     "html_text": f"SELECT page_id, {_PAGE_TEXT} AS text FROM pages",
     "extract_urls": over_mail(
         """SELECT pos, CAST(i - 1 AS INT) AS n, urls[i] AS url FROM (SELECT pos, urls, unnest(range(1, len(urls) + 1)) AS i FROM (

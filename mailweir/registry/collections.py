@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from mailweir.operators import combine, profile
 from mailweir.operators.project import id_projection
+from mailweir.plans import verify
 from mailweir.registry import derive as D
-from mailweir.registry.derive import over_mail, over_stores
+from mailweir.registry.derive import over_mail, over_stores, text_of, ts_sql
 
 
 def _stores(spark, sf):
@@ -98,12 +101,32 @@ def merge_info(spark, sf):
     return profile.merge_info(a, b)
 
 
+def run_status(spark, sf):
+    return verify.run_status(*_stores(spark, sf))
+
+
+def store_comparison(spark, sf):
+    """All sections of the comparison of two stores, a row for each figure."""
+    mail = D.mail(spark, sf).select("id", "parsed_ts", "from", "lang")
+    found = verify.store_comparison(D.store_a(mail), D.store_b(mail))
+    parts = [
+        found["difference"].select(F.lit("only in a").alias("figure"), F.col("only_in_a").cast("string").alias("value")),
+        found["difference"].select(F.lit("only in b"), F.col("only_in_b").cast("string")),
+        found["gate"].select(F.lit("ids differing"), F.col("ids_differing").cast("string")),
+        *[found[f"range_{s}"].select(F.lit(f"{end} in {s}"), text_of(F.col(end)))
+          for s in "ab" for end in ("earliest", "latest")],
+        found["top_senders"].select(F.concat(F.lit("from "), F.coalesce("from", F.lit("nobody"))), F.col("n").cast("string")),
+    ]
+    return reduce(lambda a, b: a.unionAll(b), parts)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         merge_new, merge_new_dedup, sync_missing, skip_known, reconcile, verify_gate,
         verify_gate_after_sync, set_equality, union_all, difference, distinct_ids, ids,
-        first_wins, insertable, load_stats, merge_info,
+        first_wins, insertable, load_stats, merge_info, run_status,
+        store_comparison,
     )
 }
 
@@ -111,7 +134,24 @@ _NEW = "SELECT id, pos FROM b WHERE id NOT IN (SELECT id FROM a)"
 _FIRST_NEW = "SELECT id, min(pos) AS pos FROM b WHERE id NOT IN (SELECT id FROM a) GROUP BY id"
 _ONLY = "(SELECT count(*) FROM (SELECT id FROM {0} EXCEPT SELECT id FROM {1}))"
 
+_GATE = f"""(SELECT count(*) FROM a) AS count_a, (SELECT count(*) FROM b) AS count_b,
+  {_ONLY.format('a', 'b')} + {_ONLY.format('b', 'a')} AS ids_differing,
+  (SELECT count(*) FROM a) = (SELECT count(*) FROM b)
+    AND {_ONLY.format('a', 'b')} + {_ONLY.format('b', 'a')} = 0 AS passed"""
+
 ORACLE = {
+    "run_status": over_stores(
+        f"SELECT *, CASE WHEN passed THEN 'completed' ELSE 'completed_with_warnings' END AS status FROM (SELECT {_GATE})"
+    ),
+    "store_comparison": over_stores(
+        f"""SELECT 'only in a' AS figure, CAST({_ONLY.format('a', 'b')} AS VARCHAR) AS value
+UNION ALL SELECT 'only in b', CAST({_ONLY.format('b', 'a')} AS VARCHAR)
+UNION ALL SELECT 'ids differing', CAST({_ONLY.format('a', 'b')} + {_ONLY.format('b', 'a')} AS VARCHAR)
+UNION ALL SELECT 'earliest in a', {ts_sql('min(ts)')} FROM a UNION ALL SELECT 'latest in a', {ts_sql('max(ts)')} FROM a
+UNION ALL SELECT 'earliest in b', {ts_sql('min(ts)')} FROM b UNION ALL SELECT 'latest in b', {ts_sql('max(ts)')} FROM b
+UNION ALL SELECT 'from ' || coalesce(sender, 'nobody'), CAST(n AS VARCHAR) FROM (
+  SELECT sender, count(*) AS n FROM b GROUP BY sender ORDER BY n DESC, sender NULLS FIRST LIMIT 5)"""
+    ),
     "merge_new": over_stores(f"SELECT id, pos FROM a UNION ALL {_NEW}"),
     "merge_new_dedup": over_stores(f"SELECT id, pos FROM a UNION ALL {_FIRST_NEW}"),
     "sync_missing": over_stores("SELECT id, pos FROM a WHERE id NOT IN (SELECT id FROM b)"),
@@ -120,12 +160,7 @@ ORACLE = {
         f"""SELECT {_ONLY.format('a', 'b')} AS only_in_a, {_ONLY.format('b', 'a')} AS only_in_b,
   {_ONLY.format('a', 'b')} > 0 OR {_ONLY.format('b', 'a')} > 0 AS inconsistent"""
     ),
-    "verify_gate": over_stores(
-        f"""SELECT (SELECT count(*) FROM a) AS count_a, (SELECT count(*) FROM b) AS count_b,
-  {_ONLY.format('a', 'b')} + {_ONLY.format('b', 'a')} AS ids_differing,
-  (SELECT count(*) FROM a) = (SELECT count(*) FROM b)
-    AND {_ONLY.format('a', 'b')} + {_ONLY.format('b', 'a')} = 0 AS passed"""
-    ),
+    "verify_gate": over_stores(f"SELECT {_GATE}"),
     "verify_gate_after_sync": over_stores(
         """SELECT count(DISTINCT id) AS count_a, count(DISTINCT id) AS count_b,
   CAST(0 AS BIGINT) AS ids_differing, true AS passed FROM (SELECT id FROM a UNION ALL SELECT id FROM b)"""

@@ -103,6 +103,14 @@ def load_counts(spark, sf):
     )
 
 
+def load_ties(spark, sf):
+    """Copies arrive at times of differing lengths; the numerically earliest is stored."""
+    table = run_dir(spark, "mail")
+    arrived = (F.col("pos") % 13 + 1) * F.pow(F.lit(10), F.col("pos") % 5).cast("bigint")
+    load.load_insert_only(D.mail(spark, sf).withColumn("internalDate", arrived.cast("string")), table)
+    return tables.read_mail(spark, table).select("id", F.col("internalDate").alias("internal"))
+
+
 def sync_stores(spark, sf):
     """The second store after it has been given what it lacks of the first."""
     source, target = run_dir(spark, "mail"), run_dir(spark, "mail")
@@ -156,7 +164,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         read_raw, write_mail, read_mail_days, mail_json, snapshot_restore, load_insert_only,
-        load_counts, sync_stores, read_allowlist, run_log, ingest_run, ingest_stats,
+        load_counts, load_ties, sync_stores, read_allowlist, run_log, ingest_run, ingest_stats,
     )
 }
 
@@ -165,7 +173,8 @@ _LOADED = """first_a AS (SELECT id, any_value(ts) AS ts FROM a GROUP BY id),
 first_b AS (SELECT id, any_value(ts) AS ts FROM b WHERE id NOT IN (SELECT id FROM a) GROUP BY id)"""
 # What a run keeps follows from its text, but for sender, which copies may differ in.
 _KEPT = f"kept AS (SELECT * FROM scanned WHERE {D.DATED_SQL} AND {D.MATCH_SQL})"
-_RUN1 = f"""flagged AS (SELECT *, {D.DATED_SQL} AS dated_ok, {D.MATCH_SQL} AS sender_ok FROM scanned),
+#: The outcomes of two runs over the same messages.
+RUNS_SQL = f"""flagged AS (SELECT *, {D.DATED_SQL} AS dated_ok, {D.MATCH_SQL} AS sender_ok FROM scanned),
 firsts AS (SELECT *, min(pos) FILTER (dated_ok AND sender_ok) OVER (PARTITION BY id) AS first_kept FROM flagged),
 run1 AS (SELECT *, CASE WHEN pos > first_kept THEN 'duplicate' WHEN NOT dated_ok THEN 'cutoff'
   WHEN NOT sender_ok THEN 'filtered' ELSE 'success' END AS outcome FROM firsts),
@@ -203,6 +212,9 @@ ORACLE = {
 UNION ALL SELECT 'second', (SELECT count(*) FROM b), count(*), (SELECT count(*) FROM b) - count(*), 0 FROM first_b""",
         _LOADED,
     ),
+    "load_ties": over_mail(
+        """SELECT id, CAST(min((pos % 13 + 1) * CAST(pow(10, pos % 5) AS BIGINT)) AS VARCHAR) AS internal FROM mail GROUP BY id"""
+    ),
     "sync_stores": over_stores(
         f"SELECT id, {ts_sql('any_value(ts)')} AS ts FROM (SELECT id, ts FROM a UNION ALL SELECT id, ts FROM b) GROUP BY id"
     ),
@@ -221,6 +233,6 @@ WHERE contains(regexp_extract(url, '^https?://([^/]+)', 1), 'example.com') GROUP
   CAST(0 AS BIGINT) AS count_before, {_N.format('success')} AS count_new, {_N.format('success')} AS count_after FROM run1
 UNION ALL SELECT 'r2', CASE WHEN TIMESTAMP '2024-11-14' < {_EARLIEST} THEN 'backward' ELSE 'forward' END,
   {ts_sql(_LATEST)}, {_STATS}, (SELECT {_N.format('success')} FROM run1), CAST(0 AS BIGINT),
-  (SELECT {_N.format('success')} FROM run1) FROM run2""", _RUN1
+  (SELECT {_N.format('success')} FROM run1) FROM run2""", RUNS_SQL
     ),
 }

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from mailweir.operators import order, profile, sequence
 from mailweir.operators.screen import as_instant
+from mailweir.plans.verify import quality_report as report_of
 from mailweir.plans.verify import summary
 from mailweir.registry import derive as D
 from mailweir.registry.derive import day_of, day_sql, over_mail, text_of, ts_sql
+from mailweir.schemas import BODY
 
 AS_OF = "2025-01-01T00:00:00+00:00"
 
@@ -55,6 +59,20 @@ def quality_summary(spark, sf):
     )
 
 
+def quality_report(spark, sf):
+    """The counted sections of the report as one table; its summary is ``quality_summary``."""
+    mail = D.mail(spark, sf, heavy=True).withColumn("body", F.lit(None).cast(BODY))
+    found = report_of(mail)
+    parts = [
+        found["daily"].select(F.lit("daily").alias("section"), day_of(F.col("day")).alias("item"), "n"),
+        found["top_senders"].select(F.lit("top_senders"), "from", "n"),
+        found["keywords"].select(F.lit("keywords"), "keyword", "n"),
+        found["duplicates"].select(F.lit("duplicates"), F.lit(None).cast("string"), "duplicate_ids"),
+        found["summary"].select(F.lit("total"), F.lit(None).cast("string"), "total"),
+    ]
+    return reduce(lambda a, b: a.unionAll(b), parts)
+
+
 def keywords(spark, sf):
     return profile.top_keywords(D.table(spark, sf, "documents", heavy=True), column="text")
 
@@ -154,7 +172,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         total, date_range, latest_date, freshness, top_senders, daily, content_stats,
-        quality_summary, keywords, subject_keywords, null_audit, dup_ids, dup_id_count,
+        quality_summary, quality_report, keywords, subject_keywords, null_audit, dup_ids, dup_id_count,
         category_daily, category_share, themes, sort_recent, sort_recent_plain, top_k,
         first_last, sample, progress, final_progress,
     )
@@ -222,7 +240,15 @@ ORACLE = {
     "quality_summary": over_mail(
         f"""SELECT count(*) AS total, {ts_sql('min(ts)')} AS earliest, {ts_sql('max(ts)')} AS latest, {_STATS},
   count(*) FILTER (ts IS NULL) AS missing_dates, count(*) FILTER (t IS NULL) AS missing_bodies,
-  count(*) FILTER (subject IS NULL) AS missing_subjects FROM bodies""", _BODIES
+  count(*) FILTER (subject IS NULL) AS missing_subjects, count(*) FILTER (clean = '') AS empty_texts FROM bodies""", _BODIES
+    ),
+    "quality_report": over_mail(
+        f"""SELECT 'daily' AS section, {day_sql('ts')} AS item, count(*) AS n FROM mail GROUP BY 2
+UNION ALL SELECT 'top_senders', sender, n FROM (
+  SELECT sender, count(*) AS n FROM mail GROUP BY sender ORDER BY n DESC, sender NULLS FIRST LIMIT 5)
+UNION ALL SELECT 'keywords', keyword, n FROM (WITH {_keywords_sql('mail', 'subject')})
+UNION ALL SELECT 'duplicates', NULL, count(*) FROM (SELECT id FROM mail GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'total', NULL, count(*) FROM mail"""
     ),
     "keywords": "WITH " + _keywords_sql("documents", "text"),
     "subject_keywords": over_mail("", _keywords_sql("mail", "subject")),

@@ -103,15 +103,20 @@ def html_flags(spark, sf):
     return texts.unionAll(docs).groupBy("kind").agg(F.count_if(is_html(F.col("t"))).alias("n"))
 
 
-def _outcomes(spark, sf):
+def _outcomes(spark, sf, **options):
     known = D.mail(spark, sf).filter("lang = 'es'").select("id")
-    return scan_outcomes(D.raw_documents(spark, sf, bodies=False), known, D.CUTOFF, D.ALLOW)
+    return scan_outcomes(D.raw_documents(spark, sf, bodies=False), known, D.CUTOFF, D.ALLOW, **options)
 
 
 def outcome(spark, sf):
     return _outcomes(spark, sf).select("pos", "id", "outcome")
 
 
+def outcome_long(spark, sf):
+    """The outcomes with the allowlist matched by joins, as a long one is."""
+    return _outcomes(spark, sf, inline=0).select("pos", "id", "outcome")
+
+
 def outcome_counts(spark, sf):
     return profile.outcome_counts(_outcomes(spark, sf))
 
@@ -137,6 +142,16 @@ def until_stop(spark, sf):
     return sequence.until_stop(scan, sequence.early_stop(scan)).select("mailbox", "pos", "outcome")
 
 
+#: Positions of a scan in milliseconds: a first one, and the distance of the next.
+FIRST_MS, APART_MS = 1_700_000_000_000, 300_000
+
+
+def sparse_stop(spark, sf):
+    """Where scans stop whose positions are times, five minutes apart."""
+    scan = _event_scan(spark, sf)
+    return sequence.early_stop(scan.withColumn("pos", F.col("pos") * APART_MS + F.lit(FIRST_MS)))
+
+
 def _plan(spark, sf, cut, mode):
     plan = increment.plan_increment(D.mail(spark, sf), cut, mode)
     return plan.select(
@@ -168,7 +183,7 @@ QUERIES = {
     for f in (
         first_headers, parse_dates, iso_days, cutoff, sender_allow, sender_allow_long,
         label_filter, missing_predicates, subject_default, stamped, metadata_view, html_flags,
-        outcome, outcome_counts, run_stats, early_stop, until_stop, plan_increment,
+        outcome, outcome_long, outcome_counts, run_stats, early_stop, until_stop, sparse_stop, plan_increment,
         apply_increment,
     )
 }
@@ -225,6 +240,7 @@ ORACLE = {
     "html_flags": """SELECT kind, count(*) FILTER (regexp_matches(t, '<[^>]+>')) AS n FROM (
   SELECT 'page' AS kind, html AS t FROM pages UNION ALL SELECT 'doc', text FROM documents) GROUP BY kind""",
     "outcome": over_scan("SELECT pos, id, outcome FROM outcomes", _OUTCOMES),
+    "outcome_long": over_scan("SELECT pos, id, outcome FROM outcomes", _OUTCOMES),
     "outcome_counts": over_scan(
         "SELECT outcome, count(*) AS n FROM outcomes GROUP BY outcome", _OUTCOMES
     ),
@@ -236,6 +252,7 @@ ORACLE = {
     "early_stop": f"WITH {_STOPS} SELECT mailbox, stop_pos FROM stops",
     "until_stop": f"""WITH {_STOPS} SELECT s.mailbox, s.pos, s.outcome FROM scan s LEFT JOIN stops t ON s.mailbox = t.mailbox
 WHERE t.stop_pos IS NULL OR s.pos <= t.stop_pos""",
+    "sparse_stop": f"WITH {_STOPS} SELECT mailbox, stop_pos * {APART_MS} + {FIRST_MS} AS stop_pos FROM stops",
     "plan_increment": over_mail(
         "\nUNION ALL\n".join(
             _plan_sql(c, m)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from mailweir.registry import derive as D
 from mailweir.registry.derive import over_mail, over_scan, text_of, ts_sql
+from mailweir.registry.flows import RUNS_SQL
 from mailweir.session import run_dir
 from mailweir.sources.raw import write_raw
+from mailweir.sources.runlog import read_run_log
 from mailweir.sources.tables import read_mail
 from mailweir.streaming.ingest import ingest_landed, read_stream, start_ingest
 from mailweir.streaming.progress import progress_rows
@@ -99,8 +101,35 @@ def stream_table(spark, sf):
     return read_mail(spark, f"{root}/mail").select("id", F.length("subject").cast("bigint").alias("length"))
 
 
+def stream_log(spark, sf):
+    """What became of every message of two equal deliveries, by the stream's own log."""
+    root = run_dir(spark, "stream")
+    for _ in range(2):
+        _land(D.raw_documents(spark, sf), f"{root}/landing")
+        ingest_landed(
+            spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
+            files_per_batch=None, log=f"{root}/log",
+        )
+    rows = read_run_log(spark, f"{root}/log")
+    return rows.groupBy("run_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_rejects(spark, sf):
+    """Lines that are no message, landed among messages, are set aside with their text."""
+    root = run_dir(spark, "stream")
+    _land(D.raw_documents(spark, sf, bodies=False), f"{root}/landing")
+    broken = D.table(spark, sf, "documents").select(F.concat(F.lit("{broken "), F.col("doc_id")).alias("value"))
+    broken.write.mode("append").text(f"{root}/landing")
+    ingest_landed(
+        spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
+        rejects=f"{root}/rejects",
+    )
+    return spark.read.parquet(f"{root}/rejects").select("line", "reason")
+
+
 QUERIES = {f.__name__: f for f in (
-    stream_ingest, stream_resume, stream_batches, stream_progress, stream_table,
+    stream_ingest, stream_resume, stream_batches, stream_progress, stream_table, stream_log,
+    stream_rejects,
 )}
 
 ORACLE = {
@@ -111,5 +140,10 @@ FROM scanned WHERE {D.DATED_SQL} AND {D.MATCH_SQL} GROUP BY id"""
     "stream_resume": "SELECT count(*) AS input_rows FROM documents",
     "stream_batches": f"SELECT CAST({FILES // FILES_PER_BATCH} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
     "stream_progress": f"SELECT CAST({2 * FILES} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
+    "stream_log": over_scan(
+        """SELECT 'batch-0' AS run_id, outcome AS status, count(*) AS n FROM run1 GROUP BY outcome
+UNION ALL SELECT 'batch-1', outcome, count(*) FROM run2 GROUP BY outcome""", RUNS_SQL
+    ),
+    "stream_rejects": "SELECT '{broken ' || doc_id AS line, 'no JSON object' AS reason FROM documents",
     "stream_table": over_mail("SELECT id, any_value(n_chars) AS length FROM mail GROUP BY id"),
 }

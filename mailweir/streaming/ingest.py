@@ -12,55 +12,57 @@ from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from mailweir.functions.dates import utc_day
+from mailweir.operators.combine import first_wins
+from mailweir.operators.project import scan_headers, stamp_import
+from mailweir.operators.screen import outcome
 from mailweir.plans.ingest import screened_mail
 from mailweir.schemas import RAW
-from mailweir.sources.load import load_insert_only
+from mailweir.session import stage
+from mailweir.sources.load import candidate_days, load_insert_only
+from mailweir.sources.raw import CORRUPT
+from mailweir.sources.runlog import log_rows
+from mailweir.sources.tables import DAY, path_exists, read_mail, write_mail
 from mailweir.streaming.progress import keep_progress
 
+#: Stands for the arrival of a message that does not say when it arrived: after all others.
+LAST = (1 << 63) - 1
+
 
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType = RAW, fmt: str = "json",
-    files_per_batch: int | None = 70,
+    files_per_batch: int | None = 70, **options: str,
 ) -> DataFrame:
     """Landed files as a stream; ``files_per_batch`` bounds what one batch admits."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = spark.readStream.schema(schema).format(fmt).options(**options)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
 
 
-def start_ingest(
-    stream: DataFrame, to_records: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
-    order: Sequence[str | Column] | None = None, continuous: str | None = None,
-    fixed_days: bool = False,
+def _start(
+    stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, continuous: str | None
 ) -> StreamingQuery:
-    """Load a stream into a mail table.
-
-    ``to_records`` turns one batch of the source into mail records. By default
-    everything that has landed is loaded and the query ends; ``continuous`` gives
-    a trigger interval for one that keeps running. Each batch looks its ids up in
-    the whole table; ``fixed_days`` states that copies of a message agree on its
-    date, and narrows that to the days the batch touches.
-    """
-
+    """Hand each batch to ``load``, and keep the progress of all of them."""
     kept: dict = {}
     running: list[StreamingQuery] = []
 
-    def load(batch: DataFrame, _: int) -> None:
+    def take(batch: DataFrame, number: int) -> None:
         # Spark forgets the progress of early batches; each batch keeps that of those before it.
         keep_progress(kept, running)
         # The load looks at its input several times. The batch is bounded by the
         # admission limit and spills to disk; a lost block is read again from source.
-        records = to_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            load_insert_only(records, table, order, fixed_days)
+            load(batch, number)
         finally:
-            records.unpersist()
+            batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     query = writer.trigger(**trigger).start()
     query.kept_progress = kept
@@ -68,16 +70,99 @@ def start_ingest(
     return query
 
 
+def start_ingest(
+    stream: DataFrame, to_records: Callable[[DataFrame], DataFrame], table: str, checkpoint: str,
+    order: Sequence[str | Column] | None = None, continuous: str | None = None,
+    fixed_days: bool = False,
+) -> StreamingQuery:
+    """Load a stream into a mail table.
+
+    ``to_records`` turns one batch of the source into mail records. By default
+    everything that has landed is loaded and the query ends; ``continuous`` gives
+    a trigger interval for one that keeps running. Each batch looks its ids up in
+    the whole table; ``fixed_days`` states that copies of a message agree on its
+    date, and narrows that to the days the batch touches.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        load_insert_only(to_records(batch), table, order, fixed_days)
+
+    return _start(stream, load, checkpoint, continuous)
+
+
+def _arrival(raw: DataFrame) -> Column:
+    """The order copies of a message are taken in: arrival as a number, then the whole record."""
+    arrived = F.coalesce(F.col("internalDate").try_cast("bigint"), F.lit(LAST))
+    return F.struct(arrived.alias("arrived"), F.xxhash64(*RAW.fieldNames()).alias("digest"))
+
+
+def _write_outcomes(
+    batch: DataFrame, table: str, moment: dt.datetime | str, allow: DataFrame | Sequence[str],
+    fixed_days: bool, path: str,
+) -> None:
+    """The outcome of every message of a batch, from its headers."""
+    place = F.struct("pos.arrived", "pos.digest", F.monotonically_increasing_id().alias("row"))
+    scanned = stage(
+        scan_headers(batch).select(
+            "id", place.alias("pos"), "from", "subject", "parsed_ts", "parsed_iso"
+        ),
+        "scan",
+    )
+    stored = read_mail(batch.sparkSession, table)
+    if fixed_days:
+        stored = candidate_days(stored, scanned.withColumn(DAY, utc_day("parsed_ts")))
+    outcomes = outcome(scanned, stored.select("id"), moment, allow)
+    log_rows(outcomes, "").drop("run_id").write.mode("overwrite").parquet(path)
+
+
+def _set_rejects_aside(batch: DataFrame, path: str) -> None:
+    """Write lines that are no message, and messages without an id, which cannot be stored."""
+    broken = F.col(CORRUPT).isNotNull()
+    batch.filter(F.col("id").isNull()).select(
+        F.when(broken, F.col(CORRUPT)).otherwise(F.to_json(F.struct(*RAW.fieldNames()))).alias("line"),
+        F.when(broken, "no JSON object").otherwise("message without an id").alias("reason"),
+    ).write.mode("overwrite").parquet(path)
+
+
 def ingest_landed(
     spark: SparkSession, landing: str, table: str, checkpoint: str,
     moment: dt.datetime | str, allow: DataFrame | Sequence[str], files_per_batch: int | None = 70,
-    fixed_days: bool = False,
+    fixed_days: bool = False, log: str | None = None, rejects: str | None = None,
 ) -> StreamingQuery:
-    """Screen, decode and load every raw message that has landed since the last call."""
-    stream = read_stream(spark, landing, files_per_batch=files_per_batch)
-    query = start_ingest(
-        stream, lambda batch: screened_mail(batch, moment, allow), table, checkpoint,
-        fixed_days=fixed_days,
-    )
+    """Screen, decode and load every raw message that has landed since the last call.
+
+    Headers decide what becomes of a message: of a batch, only the bodies of messages that
+    will be stored are decoded, so a second delivery decodes none. ``log`` is a folder for the
+    outcomes, in the layout of the run log with one ``run_id`` a batch, and ``rejects`` one for
+    lines that are no message.
+    """
+    # Named after the checkpoint, so that a restart finds what a failed try has written.
+    outcomes = log or f"{checkpoint.rstrip('/')}-log"
+    schema, options = RAW, {}
+    if rejects:
+        schema = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"columnNameOfCorruptRecord": CORRUPT}
+    stream = read_stream(spark, landing, schema, files_per_batch=files_per_batch, **options)
+
+    def load(batch: DataFrame, number: int) -> None:
+        if rejects:
+            _set_rejects_aside(batch, f"{rejects}/batch={number}")
+        placed = batch.withColumn("pos", _arrival(batch))
+        path = f"{outcomes}/run_id=batch-{number}"
+        # A batch that is repeated after a failure keeps the outcomes of its first try: some of
+        # its messages may be stored by now, which the load then finds out.
+        repeated = path_exists(batch.sparkSession, f"{path}/_SUCCESS")
+        if not repeated:
+            _write_outcomes(placed, table, moment, allow, fixed_days, path)
+        logged = batch.sparkSession.read.parquet(path)
+        ids = logged.filter("status = 'success'").select(F.col("message_id").alias("id"))
+        wanted = placed.join(ids, "id", "left_semi")
+        records = first_wins(screened_mail(wanted, moment, allow, "pos"), ["pos"])
+        if repeated:
+            load_insert_only(records, table, ["pos"], fixed_days)
+        else:
+            write_mail(stamp_import(records), table, mode="append")
+
+    query = _start(stream, load, checkpoint, None)
     query.awaitTermination()
     return query
