@@ -36,6 +36,30 @@ _OR_LATER = (
     "<<beginOptional>>as published by the free software foundation<<endOptional>> "
     "<<beginOptional>>either<<endOptional>> version {0} <<beginOptional>>0<<endOptional>> "
 )
+_HOLDER = '<<var;match=".+";words="1..10">>'
+_NUMBER = '<<var;match="[0-9a-d]";words="0..1">> '
+_NO_ENDORSEMENT = (
+    _NUMBER + "Neither the name of " + _HOLDER + " nor the names of " + _HOLDER + " may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_ADVERTISING = (
+    _NUMBER + "All advertising materials mentioning features or use of this software must display the following "
+    "acknowledgement: This product includes software developed by " + _HOLDER + ". "
+)
+# The place is for the clauses after the second.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: " + _NUMBER + "Redistributions of source code must retain the above copyright notice, "
+    "this list of conditions and the following disclaimer. " + _NUMBER + "Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    'materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY ' + _HOLDER + ' "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL " + _HOLDER + " BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 # Public license wording with its optional and replaceable regions.
 TEMPLATES = (
     ("gpl-2.0", "licensed under the GNU General Public License, " + _OR_LATER.format(2)),
@@ -53,13 +77,24 @@ TEMPLATES = (
     ("mit-text", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this '
      'software and associated documentation files (the "Software"), to deal in <<var;match=".+";words="1..2">> '
      'without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
-     'distribute, sublicense, and/or sell copies of the Software'),
-    ("bsd-text", 'Redistribution and use in source and binary forms, with or without modification, are '
-     'permitted <<beginOptional>>(subject to the limitations in the disclaimer below)<<endOptional>> '
-     'provided that the following conditions are met'),
+     'distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is '
+     'furnished to do so, subject to the following conditions: The above copyright notice and this permission notice '
+     '<<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial '
+     'portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+     'INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND '
+     '<<var;match="non|infringement|noninfringement";words="1..2">>. IN NO EVENT SHALL ' + _HOLDER + ' BE LIABLE FOR ANY '
+     'CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR '
+     'IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("bsd-2-clause", _BSD.format("")),
+    ("bsd-3-clause", _BSD.format(_NO_ENDORSEMENT)),
+    ("bsd-4-clause", _BSD.format(_ADVERTISING + _NO_ENDORSEMENT)),
     ("isc-text", 'Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this '
      'software for any purpose with or without fee is hereby granted, provided that the above copyright '
-     'notice and this permission notice appear in all copies'),
+     'notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND ' + _HOLDER +
+     ' DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND '
+     'FITNESS. IN NO EVENT SHALL ' + _HOLDER + ' BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES '
+     'OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, '
+     'NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
 )
 
 _MARK = re.compile(r'<<beginOptional>>|<<endOptional>>|<<var;match="([^"]*)";words="(\d+)\.\.(\d+)">>')
@@ -131,9 +166,12 @@ class Template:
         return frozenset(seen)
 
     def accepts(self, words: Sequence[bytes]) -> bool:
-        """Whether a prefix of ``words`` is the template's text."""
+        """Whether a prefix of ``words`` is the template's text.
+
+        A number at its end is whole: no other number follows.
+        """
         states = self._reach({0})
-        for word in words:
+        for word, following in zip(words, (*words[1:], b"")):
             key = (states, word)
             after = self.steps.get(key)
             if after is None:
@@ -144,11 +182,11 @@ class Template:
                     if (w == word if isinstance(w, bytes) else w.fullmatch(word))
                 })
             states = after
-            if self.end in states:
+            if self.end in states and not (word.isdigit() and following.isdigit()):
                 return True
             if not states:
                 return False
-        return self.end in states
+        return False
 
 
 def places(text: bytes, phrase: bytes) -> Iterator[int]:

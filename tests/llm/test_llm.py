@@ -382,6 +382,36 @@ def test_templates_accept_exact_wording_only():
     assert all(t.accepts(x.encode().split()) for x in yes) and not any(t.accepts(x.encode().split()) for x in no)
 
 
+def test_license_texts_are_read_to_their_end():
+    def labels(text):
+        compiled = license_templates._compiled(license_templates.TEMPLATES)
+        found = license_templates.scan_words(license_templates.plain_words(text), (), compiled)
+        return found["labels"]
+
+    filled = {}
+    for label, markup in license_templates.TEMPLATES:
+        if label in ("mit-text", "isc-text") or label.startswith("bsd-"):
+            plain = re.sub(r"<<(begin|end)Optional>>", " ", markup)
+            plain = plain.replace('<<var;match="[0-9a-d]";words="0..1">>', "1.")
+            plain = re.sub(r'<<var;match="non[^>]*>>', "NON-INFRINGEMENT", plain)
+            filled[label] = re.sub(r"<<var[^>]*>>", "the Holder", plain)
+    assert sorted(filled) == ["bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "isc-text", "mit-text"]
+    for label, text in filled.items():
+        assert labels(text) == labels("Before. " + text + " After.") == label
+        words = text.split()
+        for k in (len(words) // 2, len(words) - 4, len(words) - 1):
+            assert labels(" ".join(words[:k])) == ""
+            if "Holder" not in (words[k], words[k - 1]) and "the" != words[k]:  # a replaceable region
+                assert labels(" ".join([*words[:k], "not", "really", *words[k:]])) == ""
+        assert labels(text.replace("WARRANTIES", "PROMISES")) == ""
+    evil = "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED"
+    assert labels(filled["mit-text"].replace("THE SOFTWARE IS PROVIDED", evil)) == ""
+    gpl = "licensed under the GNU General Public License, version "
+    versions = {"2": "gpl-2.0", "2.0": "gpl-2.0", "2.1": "", "2.0.1": "", "3": "gpl-3.0", "3.5": "", "3, or later": "gpl-3.0"}
+    assert {v: labels(gpl + v + ".") for v in versions} == versions
+    assert labels("licensed under the Apache License, Version 2.0.1") == ""
+
+
 def test_license_lines(spark):
     texts = [
         "Intro. This work is licensed under the GNU General Public License, version 3. End", "CC BY and cc-by CC BY", "MIT licenses",
