@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task cuts and encodes at a time; a longer text is taken alone.
-PIECE_BYTES = 12 << 20
+PIECE_BYTES = 4 << 20
 
 # Characters that some tokenizer may take for white space; U+2581 stands for a space in pieces.
 _BLANKS = (
@@ -75,13 +75,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()), dtype=np.int64)
 
 
-def bounded(batch: pa.RecordBatch, text: str = "text"):
-    """The batch in stretches of bounded text, a text at least."""
+def bounded(batch: pa.RecordBatch, text: str = "text", most: int = PIECE_BYTES):
+    """The batch in stretches of ``most`` bytes of text, a text at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        upto = max(at + 1, int(np.searchsorted(ends, before + PIECE_BYTES, "right")))
+        upto = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
         yield batch.slice(at, upto - at)
         at = upto

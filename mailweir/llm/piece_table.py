@@ -33,7 +33,7 @@ from mailweir.session import spread
 
 SPACE = "▁"
 #: Characters that are matched at a time, and verdicts on pairs that are remembered.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 PAIR_SLOTS = 1 << 21
 PAIR_CACHE = 1 << 20
 #: Characters of a chunk from which it is worked on alone.
