@@ -35,6 +35,8 @@ from mailweir.session import stage
 
 #: Pairs of highest counts that every task gets, 17 bytes each.
 HOT_PAIRS = 1 << 16
+#: Bytes of text that are aligned at a time; a task holds some 40 times as much.
+ALIGN_BYTES = 4 << 20
 
 _ALIGNED = pa.schema([
     ("key", pa.binary()), ("copies", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
@@ -225,11 +227,13 @@ def aligned_texts(docs: DataFrame, byte_bpe: str, pieces: str, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(byte_bpe, pieces)
-        for part in (p for batch in batches for p in bounded(batch)):
+        for part in (p for batch in batches for p in bounded(batch, most=ALIGN_BYTES)):
             found = aligner.align(part.column("text")) | {n: part.column(n) for n in ("key", "copies")}
             columns = [found[f.name] for f in _ALIGNED]
             columns = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _ALIGNED)]
             yield pa.RecordBatch.from_arrays(columns, schema=_ALIGNED)
+            del found, columns
+            pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(
         run, "key binary, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
