@@ -1,10 +1,10 @@
 """Ordered logic that must not put one long sequence into one task.
 
-A sequence is cut into segments of consecutive positions. Work inside a segment
-is a window over at most ``chunk`` rows; what crosses segments is one summary
-row per segment. Where positions are far apart there are as many summaries as rows, so
-these are cut in the same way again: after ``LEVELS`` cuts at most 1,024 summaries of a
-sequence are left, whatever 64-bit positions it has.
+All sequences are laid out in order by one range partitioning on key and position. What falls
+into a partition of it is a segment: rows that follow each other by rank, however far apart
+their positions are. Work inside a segment is a window over it; what crosses segments is one
+summary row per segment and key, an element of an associative operation, and a key has as
+many of them as there are partitions at most.
 """
 
 from __future__ import annotations
@@ -17,52 +17,48 @@ from pyspark.sql import functions as F
 from mailweir.operators.skew import skew_join
 from mailweir.session import stage
 
-DEFAULT_CHUNK = 1 << 18
-LEVELS = 3
-
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def _segment(pos: str, chunk: int):
-    return F.floor(F.col(pos) / F.lit(chunk)).cast("bigint")
+def in_segments(df: DataFrame, key: str, pos: str, chunk: int | None = None) -> DataFrame:
+    """The rows with ``_seg``, the number of their segment; numbers ascend with key and position.
+
+    A segment is a partition of the session's shuffles, so it shrinks as these grow in number;
+    ``chunk`` asks for that many rows a segment instead, for which they are counted first.
+    """
+    if chunk is None:
+        laid = df.repartitionByRange(key, pos)
+    else:
+        laid = df.repartitionByRange(max(1, -(-df.count() // chunk)), key, pos)
+    return laid.withColumn("_seg", F.spark_partition_id())
 
 
 def prefix_scan(
     df: DataFrame, keys: Sequence[str], pos: str,
-    outputs: Mapping[str, tuple[str, str]], chunk: int = DEFAULT_CHUNK, inclusive: bool = True,
-    levels: int = LEVELS,
+    outputs: Mapping[str, tuple[str, str]], chunk: int | None = None, inclusive: bool = True,
 ) -> DataFrame:
-    """Running sum, max or min along ``pos`` (integers, unique per key).
+    """Running sum, max or min along ``pos`` (ordered, unique per key).
 
     ``outputs`` maps a new column to ``(kind, column)``. With ``inclusive`` false
-    the current row is left out. ``levels`` is how often sequences are cut.
+    the current row is left out.
     """
     # The keys travel as one struct, which unlike its fields is never NULL: plain
     # equality then matches NULL keys and reuses the partitioning of the window.
     key = F.struct(*keys) if keys else F.struct(F.lit(0))
-    split = df.withColumns({"_key": key, "_seg": _segment(pos, chunk)})
+    # Written with its segments: rows and summaries have to be of the same layout.
+    laid = stage(in_segments(df.withColumn("_key", key), "_key", pos, chunk), "segments")
     inside = Window.partitionBy("_key", "_seg").orderBy(pos).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1
     )
     before = Window.partitionBy("_key").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    totals = split.groupBy("_key", "_seg").agg(
+    totals = laid.groupBy("_key", "_seg").agg(
         *[_COMBINE[kind](col).alias(f"_t_{out}") for out, (kind, col) in outputs.items()]
     )
-    if levels > 1:
-        above = totals.select(
-            F.col("_key").alias("_above"), F.col("_seg").alias("_at"), *[f"_t_{out}" for out in outputs]
-        )
-        sums = {f"_c_{out}": (kind, f"_t_{out}") for out, (kind, _) in outputs.items()}
-        carried = prefix_scan(above, ["_above"], "_at", sums, chunk, False, levels - 1).select(
-            F.col("_above").alias("_key"), F.col("_at").alias("_seg"), *sums
-        )
-    else:
-        carried = totals.select(
-            "_key", "_seg",
-            *[_COMBINE[kind](f"_t_{out}").over(before).alias(f"_c_{out}")
-              for out, (kind, _) in outputs.items()],
-        )
-    local = split.withColumns(
+    carried = totals.select(
+        "_key", "_seg",
+        *[_COMBINE[kind](f"_t_{out}").over(before).alias(f"_c_{out}") for out, (kind, _) in outputs.items()],
+    )
+    local = laid.withColumns(
         {f"_l_{out}": _COMBINE[kind](col).over(inside) for out, (kind, col) in outputs.items()}
     )
 
@@ -83,7 +79,7 @@ def prefix_scan(
 
 def early_stop(
     scan: DataFrame, mailbox: str = "mailbox", pos: str = "pos", outcome: str = "outcome",
-    limit: int = 5, chunk: int = DEFAULT_CHUNK,
+    limit: int = 5, chunk: int | None = None,
 ) -> DataFrame:
     """Where each mailbox's scan stops: at the ``limit``-th old message with none kept between.
 
@@ -97,16 +93,15 @@ def early_stop(
     relevant = scan.filter(F.col(outcome).isin("cutoff", "success")).select(
         F.col(mailbox).alias("_box"), F.col(pos).alias("_pos"),
         (F.col(outcome) == "success").cast("int").alias("_kept"),
-        _segment(pos, chunk).alias("_seg"),
     )
     in_segment = Window.partitionBy("_box", "_seg").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    runs = relevant.withColumn("_run", F.sum("_kept").over(in_segment))
-    in_run = Window.partitionBy("_box", "_seg", "_run").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    counted = runs.withColumn("_old", F.sum(1 - F.col("_kept")).over(in_run))
+    runs = in_segments(relevant, "_box", "_pos", chunk).withColumn("_run", F.sum("_kept").over(in_segment))
+    # Old messages since the run began: those so far, less those before its kept message.
+    olds = F.sum(1 - F.col("_kept")).over(in_segment)
+    begun = F.max(F.when(F.col("_kept") == 1, F.col("_olds"))).over(in_segment)
+    counted = runs.withColumn("_olds", olds).withColumn("_old", F.col("_olds") - F.coalesce(begun, F.lit(0)))
     old = F.col("_kept") == 0
     first_run = F.col("_run") == 0
     segments = counted.groupBy("_box", "_seg").agg(
@@ -121,17 +116,10 @@ def early_stop(
     )
     # What comes into a segment: the old messages in the tails before it, less those before
     # the tail of the last segment that holds a kept one.
-    segments = stage(segments.withColumnRenamed("_seg", "_at"), "segments")
-    scan_up = lambda df, out, kind, col: prefix_scan(
-        df, ["_box"], "_at", {out: (kind, col)}, chunk, False, LEVELS - 1
-    )
-    before = F.coalesce("_before", F.lit(0))
-    tailed = scan_up(segments, "_before", "sum", "_tail").withColumn(
-        "_start", F.when(F.col("_has_kept") == 1, before)
-    )
-    carried = scan_up(tailed, "_last", "max", "_start").withColumn(
-        "_carry", before - F.coalesce("_last", F.lit(0))
-    )
+    earlier = Window.partitionBy("_box").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    tailed = segments.withColumn("_before", F.coalesce(F.sum("_tail").over(earlier), F.lit(0)))
+    start = F.max(F.when(F.col("_has_kept") == 1, F.col("_before"))).over(earlier)
+    carried = tailed.withColumn("_carry", F.col("_before") - F.coalesce(start, F.lit(0)))
     # The run stops in this segment's lead at its (limit - carry)-th old message. A carry of
     # the limit or more means an earlier segment has stopped already.
     lead_stop = F.coalesce(
@@ -157,7 +145,7 @@ def until_stop(
 
 def progress(
     polls: DataFrame, seq: str = "seq", count_a: str = "count_a", count_b: str = "count_b",
-    initial: int = 0, run: Sequence[str] = (), chunk: int = DEFAULT_CHUNK,
+    initial: int = 0, run: Sequence[str] = (), chunk: int | None = None,
 ) -> DataFrame:
     """Per poll: the larger count, how many are new since the highest seen, and the total so far."""
     current = polls.withColumn(

@@ -153,19 +153,19 @@ def _polls(spark, sf):
     )
     numbered = per_day.withColumn("seq", F.unix_date("day"))
     return sequence.prefix_scan(
-        numbered, [], "seq", {"count_a": ("sum", "_a"), "count_b": ("sum", "_b")}, chunk=366
+        numbered, [], "seq", {"count_a": ("sum", "_a"), "count_b": ("sum", "_b")}
     ).select("seq", "day", "count_a", "count_b")
 
 
 def progress(spark, sf):
-    tracked = sequence.progress(_polls(spark, sf), chunk=366)
+    tracked = sequence.progress(_polls(spark, sf))
     return tracked.select(
         day_of(F.col("day")).alias("day"), "count_a", "count_b", "current", "new", "total_processed"
     )
 
 
 def final_progress(spark, sf):
-    return sequence.final_progress(sequence.progress(_polls(spark, sf), chunk=366))
+    return sequence.final_progress(sequence.progress(_polls(spark, sf)))
 
 
 QUERIES = {
