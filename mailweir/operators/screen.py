@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -128,11 +128,13 @@ def missing(column: str) -> Column:
 
 
 def outcome(
-    scanned: DataFrame, known: DataFrame, moment: dt.datetime | str,
+    scanned: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame], moment: dt.datetime | str,
     allow: DataFrame | Sequence[str], pos: str = "pos", inline: int = INLINE_ENTRIES,
 ) -> DataFrame:
     """Label each scanned message: error, duplicate, cutoff, filtered or success.
 
+    ``known`` are the stored ids, or a function that says which of the ids scanned are stored.
+
     A message is a duplicate if its id is stored already or was kept earlier in
     this scan. Ids are aggregated before anything is joined, and only ids that
     repeat take part, so copies of one message never gather in one task.
@@ -144,7 +146,7 @@ def outcome(
         # Matched by joins: done once, as the rows are looked at several times below.
         matched = stage(with_sender_match(scanned, allow, inline=0), "matched")
     flagged = matched.withColumn("_dated_ok", after_cutoff(F.col("parsed_ts"), moment))
-    hits = known_hits(flagged, known)
+    hits = known(flagged.filter("id is not null")) if callable(known) else known_hits(flagged, known)
     eligible = F.col("_dated_ok") & F.col("_sender_ok")
     repeats = (
         flagged.filter(F.col("id").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +18,10 @@ from mailweir.operators.project import named_headers, scan_headers, to_mail
 from mailweir.operators.screen import INLINE_ENTRIES, as_instant, cutoff, outcome, sender_allow
 from mailweir.operators.sequence import early_stop, until_stop
 from mailweir.session import stage
-from mailweir.sources.load import LoadStats, append_new
+from mailweir.sources.load import LoadStats, append_new, stored_ids
 from mailweir.sources.runlog import log_rows, write_run_log, write_run_stats
 from mailweir.sources.snapshots import due, moment_of, retain, snapshot, snapshots
-from mailweir.sources.tables import read_mail
+from mailweir.sources.tables import read_mail, settle
 
 
 def screened_mail(
@@ -37,7 +37,7 @@ def screened_mail(
 
 
 def scan_outcomes(
-    raw: DataFrame, known: DataFrame, moment: dt.datetime | str,
+    raw: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame], moment: dt.datetime | str,
     allow: DataFrame | Sequence[str], pos: str = "pos", inline: int = INLINE_ENTRIES,
 ) -> DataFrame:
     """The outcome of every scanned message; bodies are not read.
@@ -89,10 +89,13 @@ def run_ingest(
     """
     run_id = run_id or uuid.uuid4().hex
     started = dt.datetime.now(dt.timezone.utc)
+    settle(spark, paths.table)
     stored = read_mail(spark, paths.table)
     before = stored.count()
     plan = plan_increment(stored, moment).first()
-    outcomes = stage(scan_outcomes(raw, stored, moment, allow, pos), "outcomes")
+    outcomes = stage(
+        scan_outcomes(raw, lambda ids: stored_ids(spark, paths.table, ids), moment, allow, pos), "outcomes"
+    )
     if stop_after is not None:
         scan = outcomes.withColumn("mailbox", F.lit("all"))
         stops = early_stop(scan, pos=pos, limit=stop_after)
@@ -108,7 +111,7 @@ def run_ingest(
     if listed != ids:
         # Copies of a message share a scan position, so it did not tell them apart.
         new = first_wins(new, [pos])
-    stats = append_new(new, paths.table, listed)
+    stats = append_new(new, paths.table, listed, ids=kept.select("id").distinct())
 
     summary = run_stats(outcomes).select(
         "*",

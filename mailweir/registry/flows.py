@@ -13,7 +13,7 @@ from mailweir.registry import derive as D
 from mailweir.registry.derive import day_of, day_sql, over_mail, over_scan, over_stores, text_of, ts_sql
 from mailweir.registry.screening import _OUTCOMES, _outcomes
 from mailweir.session import run_dir
-from mailweir.sources import allowlist, load, runlog, snapshots, tables
+from mailweir.sources import allowlist, idindex, load, runlog, snapshots, tables
 from mailweir.sources import raw as raw_files
 
 AT = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
@@ -89,6 +89,21 @@ def load_insert_only(spark, sf):
     )
 
 
+def load_indexed(spark, sf):
+    """The same loads by the table's index of ids, whose files are merged in between."""
+    table = run_dir(spark, "mail")
+    mail = D.mail(spark, sf)
+    load.load_insert_only(D.store_a(mail), table, ["pos"], index=True)
+    load.load_insert_only(D.store_b(mail), table, ["pos"])
+    idindex.compact(spark, table)
+    load.load_insert_only(D.store_b(mail), table, ["pos"])
+    stored = tables.read_mail(spark, table)
+    filed = idindex.hits(spark, table, stored.select("id"))
+    return stored.join(filed, "id").select(
+        "id", text_of(F.col("parsed_ts")).alias("ts"), F.col("_imported_at").isNotNull().alias("stamped")
+    )
+
+
 def load_counts(spark, sf):
     """The counts two loads report."""
     table = run_dir(spark, "mail")
@@ -164,7 +179,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         read_raw, write_mail, read_mail_days, mail_json, snapshot_restore, load_insert_only,
-        load_counts, load_ties, sync_stores, read_allowlist, run_log, ingest_run, ingest_stats,
+        load_indexed, load_counts, load_ties, sync_stores, read_allowlist, run_log, ingest_run, ingest_stats,
     )
 }
 
@@ -204,6 +219,10 @@ ORACLE = {
     "snapshot_restore": over_stores(f"SELECT {_SHOWN} FROM a"),
     "load_insert_only": over_stores(
         f"""SELECT id, {ts_sql('ts')} AS ts, true AS stamped FROM (
+  SELECT * FROM first_a UNION ALL SELECT * FROM first_b)""", _LOADED
+    ),
+    "load_indexed": over_stores(
+        f"""SELECT id, {ts_sql('ts')} AS ts, true AS stamped FROM (
   SELECT * FROM first_a UNION ALL SELECT * FROM first_b)""", _LOADED
     ),
     "load_counts": over_stores(

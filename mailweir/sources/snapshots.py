@@ -2,7 +2,7 @@
 
 Files of a mail table never change: a load only adds some. A snapshot is therefore a
 list of file names, made without reading or copying a row. Only replacing a table would
-remove files that a snapshot names, so ``write_mail`` and ``restore`` first move the
+remove files that a snapshot names, so ``write_mail`` and ``restore`` move the
 replaced table aside, as one folder. A table keeps its snapshots under one root.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mailweir.schemas import MAIL
 from mailweir.sources.tables import (
-    aside, empty_mail, file_system, generation, path_exists, set_aside, write_mail,
+    aside, empty_mail, file_system, generation, path_exists, settle, write_mail,
 )
 
 STAMP = "snapshot_ts"
@@ -41,6 +41,7 @@ def snapshot(
     Spark lists the folders in parallel and notes each file's name and size; what is in the
     files is not read.
     """
+    settle(spark, table)
     if not path_exists(spark, table):
         return None
     name = stamp(at or dt.datetime.now(dt.timezone.utc))
@@ -100,7 +101,6 @@ def restore(spark: SparkSession, root: str, table: str, name: str | None = None)
     """Write a snapshot back as the table; what the table held stays for its other snapshots."""
     name = name or (snapshots(spark, root) or [None])[-1]
     manifest(spark, root, name)
-    set_aside(spark, table)
     write_mail(read_snapshot(spark, root, name), table)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mailweir.functions.dates import iso_instant, utc_day
 from mailweir.functions.text import nullish_default
 from mailweir.schemas import BODY, MAIL, MAIL_JSON
+from mailweir.sources.files import create, file_system, move, path_exists, read_text, remove
 
 DAY = "mail_date"
 #: An empty file in a table that has snapshots: what follows names the table's contents since
@@ -17,18 +18,6 @@ DAY = "mail_date"
 GENERATION = "_generation-"
 
 
-def file_system(spark: SparkSession, path: str):
-    """The file system a path names, and the path in its terms."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists, on whatever file system it names."""
-    fs, folder = file_system(spark, path)
-    return fs.exists(folder)
-
-
 def generation(spark: SparkSession, table: str, create: bool = False) -> str | None:
     """The name of a table's contents since they were last replaced, given when first asked
     for with ``create``."""
@@ -50,15 +39,49 @@ def aside(table: str, name: str) -> str:
     return f"{table.rstrip('/')}-replaced/{name}"
 
 
-def set_aside(spark: SparkSession, table: str) -> None:
-    """Move a table that snapshots name out of the way, as one folder."""
-    name = generation(spark, table)
-    if name is None:
-        return
-    fs, kept = file_system(spark, aside(table, name))
-    fs.mkdirs(kept.getParent())
-    if not fs.rename(file_system(spark, table)[1], kept):
-        raise OSError(f"cannot move {table} to {kept}")
+def id_home(table: str) -> str:
+    """Where the index of a table's ids is, if it has one."""
+    return f"{table.rstrip('/')}-ids"
+
+
+def _mark(table: str) -> str:
+    """The file that says which folder is about to become the table."""
+    return f"{table.rstrip('/')}-replacing"
+
+
+def live(spark: SparkSession, table: str) -> str | None:
+    """The folder that holds the table's rows now; None if there is no table.
+
+    Between a replaced table's leaving and the new one's coming that is the new one's own folder.
+    """
+    if path_exists(spark, table):
+        return table
+    coming = read_text(spark, _mark(table))
+    return coming if coming and path_exists(spark, coming) else None
+
+
+def settle(spark: SparkSession, table: str) -> None:
+    """Finish a replacement that has been announced, from whatever step it was left at.
+
+    A table that snapshots name is moved aside for them, another one is deleted. The index of
+    ids goes first, as it speaks of rows that leave.
+    """
+    coming = read_text(spark, _mark(table))
+    if coming and path_exists(spark, coming):
+        remove(spark, id_home(table))
+        if path_exists(spark, table):
+            name = generation(spark, table)
+            gone = aside(table, name) if name else f"{coming}-before"
+            move(spark, table, gone)
+        move(spark, coming, table)
+        remove(spark, f"{coming}-before")
+    remove(spark, _mark(table))
+
+
+def replace(spark: SparkSession, table: str, coming: str) -> None:
+    """Let a folder that is completely written take the table's place."""
+    create(spark, _mark(table), coming)
+    settle(spark, table)
 
 
 def empty_mail(spark: SparkSession) -> DataFrame:
@@ -81,9 +104,8 @@ def conform(mail: DataFrame) -> DataFrame:
 
 def read_mail(spark: SparkSession, path: str) -> DataFrame:
     """A mail table; a path that does not exist yet is an empty table."""
-    if not path_exists(spark, path):
-        return empty_mail(spark)
-    return spark.read.schema(MAIL).parquet(path)
+    folder = live(spark, path)
+    return spark.read.schema(MAIL).parquet(folder) if folder else empty_mail(spark)
 
 
 def spread_by_day(mail: DataFrame) -> DataFrame:
@@ -97,20 +119,36 @@ def spread_by_day(mail: DataFrame) -> DataFrame:
     )
 
 
-def write_mail(mail: DataFrame, path: str, mode: str = "overwrite") -> int:
+def write_mail(mail: DataFrame, path: str, mode: str = "overwrite", ids: DataFrame | None = None) -> int:
     """Write a table partitioned by day, latest first inside each file; the rows written.
 
     The rows are counted by the writing tasks themselves, after the last shuffle,
     where Spark counts a task once however often it is tried. Neither the input
-    nor the table has to be read again to know the number. A replaced table that has
-    snapshots is moved aside for them.
+    nor the table has to be read again to know the number. A table is replaced by writing
+    beside it and then taking its place, so that there is the old or the new one at any time;
+    it loses its index of ids. Appending to a table with
+    an index files the ids first: ``ids`` if they are at hand in a cheaper form.
     """
-    if mode == "overwrite":
-        set_aside(mail.sparkSession, path)
-    written = Observation()
-    counted = spread_by_day(conform(mail)).observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode(mode).partitionBy(DAY).parquet(path)
-    return written.get["rows"]
+    from mailweir.sources import idindex
+
+    spark = mail.sparkSession
+    settle(spark, path)
+
+    def write(folder: str) -> int:
+        written = Observation()
+        counted = spread_by_day(conform(mail)).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode(mode).partitionBy(DAY).parquet(folder)
+        return written.get["rows"]
+
+    if mode == "append" and idindex.exists(spark, path):
+        return idindex.appended(spark, path, mail.select("id") if ids is None else ids, lambda: write(path))
+    if mode != "overwrite":
+        return write(path)
+    # The rows may come from the table itself, which stays until all are written.
+    coming = f"{path.rstrip('/')}-coming-{uuid.uuid4().hex}"
+    rows = write(coming)
+    replace(spark, path, coming)
+    return rows
 
 
 def _from_json_layout(rows: DataFrame) -> DataFrame:
@@ -172,6 +210,6 @@ def write_mail_json(mail: DataFrame, path: str) -> None:
 
 
 __all__ = [
-    "aside", "conform", "empty_mail", "file_system", "generation", "path_exists", "read_mail",
-    "read_mail_json", "set_aside", "spread_by_day", "write_mail", "write_mail_json",
+    "aside", "conform", "empty_mail", "file_system", "generation", "id_home", "live", "path_exists",
+    "read_mail", "read_mail_json", "replace", "settle", "spread_by_day", "write_mail", "write_mail_json",
 ]
