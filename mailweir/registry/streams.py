@@ -11,15 +11,16 @@ from mailweir.session import run_dir
 from mailweir.sources.raw import write_raw
 from mailweir.sources.runlog import read_run_log
 from mailweir.sources.tables import read_mail
-from mailweir.streaming.ingest import ingest_landed, read_stream, start_ingest
+from mailweir.streaming.ingest import ingest_landed, ingest_stateful, read_stream, start_ingest
 from mailweir.streaming.progress import progress_rows
 
 #: Files the landed messages are split into, and how many of them one batch admits.
 FILES, FILES_PER_BATCH = 4, 2
 
 
-def _land(df, path):
-    write_raw(df.repartition(FILES, "pos"), path)
+def _land(df, path, files=None):
+    """Land messages in as many files as the source has partitions, or a given number."""
+    write_raw(df.repartition(files, "pos") if files else df, path)
 
 
 def stream_ingest(spark, sf):
@@ -56,7 +57,7 @@ def stream_resume(spark, sf):
 def stream_batches(spark, sf):
     """How the admission limit cuts one delivery into batches, from the query's own progress."""
     root = run_dir(spark, "stream")
-    _land(D.raw_documents(spark, sf), f"{root}/landing")
+    _land(D.raw_documents(spark, sf), f"{root}/landing", FILES)
     query = ingest_landed(
         spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
         files_per_batch=FILES_PER_BATCH,
@@ -70,7 +71,7 @@ def stream_batches(spark, sf):
 def stream_progress(spark, sf):
     """Progress of more batches than Spark remembers."""
     root, limit = run_dir(spark, "stream"), "spark.sql.streaming.numRecentProgressUpdates"
-    write_raw(D.raw_documents(spark, sf, bodies=False).repartition(2 * FILES, "pos"), f"{root}/landing")
+    _land(D.raw_documents(spark, sf), f"{root}/landing", 2 * FILES)
     before = spark.conf.get(limit)
     spark.conf.set(limit, "3")
     try:
@@ -83,6 +84,33 @@ def stream_progress(spark, sf):
     return filled.agg(F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"))
 
 
+def stream_restart(spark, sf):
+    """Half of the mail by one query, the other half by one with a fresh checkpoint and the same log."""
+    root = run_dir(spark, "stream")
+    raw = D.raw_documents(spark, sf)
+    for name, part in (("one", F.col("pos") % 2 == 0), ("two", F.col("pos") % 2 == 1)):
+        _land(raw.filter(part), f"{root}/{name}")
+        ingest_landed(
+            spark, f"{root}/{name}", f"{root}/mail", f"{root}/{name}-checkpoint", D.CUTOFF, D.ALLOW,
+            log=f"{root}/log", rejects=f"{root}/rejects",
+        )
+    return read_mail(spark, f"{root}/mail").select(
+        "id", "subject", text_of(F.col("parsed_ts")).alias("ts"), "parsed_iso"
+    )
+
+
+def stream_state(spark, sf):
+    """As ``stream_ingest``, with the ids stored so far in the stream's state."""
+    root = run_dir(spark, "stream")
+    raw = D.raw_documents(spark, sf)
+    for _ in range(2):
+        _land(raw, f"{root}/landing")
+        ingest_stateful(spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW)
+    return read_mail(spark, f"{root}/mail").select(
+        "id", "subject", text_of(F.col("parsed_ts")).alias("ts"), "parsed_iso"
+    )
+
+
 def stream_table(spark, sf):
     """A given table itself as the stream."""
     root = run_dir(spark, "stream")
@@ -117,7 +145,7 @@ def stream_log(spark, sf):
 def stream_rejects(spark, sf):
     """Lines that are no message, landed among messages, are set aside with their text."""
     root = run_dir(spark, "stream")
-    _land(D.raw_documents(spark, sf, bodies=False), f"{root}/landing")
+    _land(D.raw_documents(spark, sf), f"{root}/landing")
     broken = D.table(spark, sf, "documents").select(F.concat(F.lit("{broken "), F.col("doc_id")).alias("value"))
     broken.write.mode("append").text(f"{root}/landing")
     ingest_landed(
@@ -128,15 +156,19 @@ def stream_rejects(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_ingest, stream_resume, stream_batches, stream_progress, stream_table, stream_log,
+    stream_ingest, stream_restart, stream_state, stream_resume, stream_batches, stream_progress, stream_table, stream_log,
     stream_rejects,
 )}
 
-ORACLE = {
-    "stream_ingest": over_scan(
-        f"""SELECT id, any_value(subject) AS subject, {ts_sql('any_value(ts)')} AS ts, any_value(iso) AS parsed_iso
+_STORED = over_scan(
+    f"""SELECT id, any_value(subject) AS subject, {ts_sql('any_value(ts)')} AS ts, any_value(iso) AS parsed_iso
 FROM scanned WHERE {D.DATED_SQL} AND {D.MATCH_SQL} GROUP BY id"""
-    ),
+)
+
+ORACLE = {
+    "stream_ingest": _STORED,
+    "stream_restart": _STORED,
+    "stream_state": _STORED,
     "stream_resume": "SELECT count(*) AS input_rows FROM documents",
     "stream_batches": f"SELECT CAST({FILES // FILES_PER_BATCH} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
     "stream_progress": f"SELECT CAST({2 * FILES} AS BIGINT) AS batches, count(*) AS input_rows FROM documents",
