@@ -15,6 +15,10 @@ from mailweir.session import stage
 
 #: Up to this many allowlist entries become a plain filter expression.
 INLINE_ENTRIES = 64
+#: Characters of the pieces that entries of a longer list are filed under.
+PIECE = 6
+#: Senders found, with what each takes, up to which they are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def as_instant(moment: dt.datetime | str) -> Column:
@@ -42,30 +46,58 @@ def sender_contains(sender: Column, entries: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(text, F.lit(e)) for e in entries), F.lit(False))
 
 
-def matching_senders(df: DataFrame, allow: DataFrame, sender: str = "from") -> DataFrame:
+def _pieces(text: Column, n: Column | int) -> Column:
+    """All stretches of ``n`` characters; of a shorter text none."""
+    n = F.lit(n) if isinstance(n, int) else n
+    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+    cut = F.transform(starts, lambda i: F.substring(text, i, n))
+    return F.when(F.length(text) >= n, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+
+def filed_entries(allow: DataFrame, piece: int = PIECE) -> DataFrame:
+    """``_piece, _entry``: every entry once, under the piece of it that fewest entries have.
+
+    Entries shorter than a piece are filed under themselves. Rare pieces keep the entries
+    apart that begin or end alike, such as the addresses of one domain.
+    """
+    entries = allow.select(F.col("sender").alias("_entry")).distinct()
+    cut = entries.select("_entry", F.explode(_pieces(F.col("_entry"), piece)).alias("_piece"))
+    held = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = cut.join(held, "_piece").groupBy("_entry").agg(F.min(F.struct("_n", "_piece")).alias("_least"))
+    short = entries.filter(F.length("_entry") < piece).select(F.col("_entry").alias("_piece"), "_entry")
+    return rarest.select("_least._piece", "_entry").unionByName(short)
+
+
+def matching_senders(df: DataFrame, allow: DataFrame, sender: str = "from", piece: int = PIECE) -> DataFrame:
     """Distinct senders that contain an entry, for lists of any length.
 
-    Each distinct sender is cut into its pieces of the lengths that occur in the
-    list, and the pieces are looked up by equality. That is substring search as
-    a hash join: no sender is compared with every entry.
+    An index by pieces of one length: each distinct sender is cut into its pieces, one per
+    position, and meets the entries filed under them, by equality; of these candidates those
+    count that it contains. No sender is compared with every entry, whatever lengths the
+    entries have. Only entries shorter than a piece add pieces of their own few lengths.
     """
-    lengths = _strings([r[0] for r in allow.select(F.length("sender")).distinct().collect()], int)
+    of_lengths = F.collect_set(F.when(F.length("sender") < piece, F.length("sender"))).alias("short")
+    # Fewer numbers than a piece has characters.
+    lengths, missing_ones = allow.agg(of_lengths, F.count_if(F.col("sender").isNull())).first()
+    if missing_ones:
+        _strings([None])
     senders = df.select(F.coalesce(F.col(sender), F.lit("")).alias("_sender")).distinct()
-    pieces = F.flatten(
-        F.transform(
-            F.array(*[F.lit(n) for n in sorted(lengths)]),
-            lambda n: F.when(
-                F.length("_sender") >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.length("_sender") - n + 1),
-                    lambda i: F.substring(F.col("_sender"), i, n),
-                ),
-            ).otherwise(F.array().cast("array<string>")),
-        )
-    )
-    cut = senders.select("_sender", F.explode(F.array_distinct(pieces)).alias("_piece"))
-    wanted = allow.select(F.col("sender").alias("_piece"))
-    return cut.join(wanted, "_piece", "left_semi").select("_sender").distinct()
+    pieces = F.flatten(F.array(*[_pieces(F.col("_sender"), n) for n in [*sorted(lengths), piece]]))
+    cut = senders.select("_sender", F.explode(pieces).alias("_piece")).alias("c")
+    filed = stage(filed_entries(allow, piece), "filed-entries").alias("f")
+    same = (F.col("c._piece") == F.col("f._piece")) & F.contains(F.col("c._sender"), F.col("f._entry"))
+    return cut.join(filed, same, "left_semi").select("_sender").distinct()
+
+
+def _join_senders(df: DataFrame, found: DataFrame, sender: str, how: str) -> DataFrame:
+    """Join messages to the senders found; these are sent to every task as long as they are few,
+    so that messages with their bodies stay where they are."""
+    keyed = df.withColumn("_sender", F.coalesce(F.col(sender), F.lit("")))
+    found = stage(found, "senders-found")
+    few = found.agg(F.sum(F.length("_sender") + 32)).first()[0] or 0
+    if few <= BROADCAST_BYTES:
+        return keyed.join(F.broadcast(found), "_sender", how).drop("_sender")
+    return skew_join(keyed, found, "_sender", how).drop("_sender")
 
 
 def _strings(entries: list, kind: type = str) -> list:
@@ -99,8 +131,7 @@ def with_sender_match(
     if entries is not None:
         return df.withColumn(name, sender_contains(F.col(sender), entries))
     found = matching_senders(df, _as_entries(df, allow), sender).withColumn(name, F.lit(True))
-    keyed = df.withColumn("_sender", F.coalesce(F.col(sender), F.lit("")))
-    joined = skew_join(keyed, found, "_sender", "left").drop("_sender")
+    joined = _join_senders(df, found, sender, "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
@@ -113,8 +144,7 @@ def sender_allow(
     if entries is not None:
         return df.filter(sender_contains(F.col(sender), entries))
     found = matching_senders(df, _as_entries(df, allow), sender)
-    keyed = df.withColumn("_sender", F.coalesce(F.col(sender), F.lit("")))
-    return skew_join(keyed, found, "_sender", "left_semi").drop("_sender")
+    return _join_senders(df, found, sender, "left_semi")
 
 
 def label_filter(df: DataFrame, labels: Sequence[str], column: str = "labelIds") -> DataFrame:
