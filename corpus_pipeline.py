@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweir.llm.common import DOCUMENT, table
@@ -24,7 +24,7 @@ from mailweir.llm.pu_quality import train, with_score
 from mailweir.llm.shuffle_shards import shuffled
 from mailweir.llm.signature_tree import one_of_each
 from mailweir.llm.winnow import contamination
-from mailweir.session import run_dir
+from mailweir.session import run_dir, stage
 
 SHARDS = 40
 
@@ -35,6 +35,11 @@ def _key() -> Column:
     return F.concat(doc_id, F.lit(":"), F.hex(F.xxhash64(F.coalesce("text", F.lit("")))))
 
 
+def _whole_key() -> Column:
+    """Rows that have it in common are alike in all columns."""
+    return F.concat(_key(), F.lit(":"), F.hex(F.xxhash64("lang", "source", "n_chars")))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier accepts."""
     docs = docs.select(*DOCUMENT)
@@ -56,13 +61,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes of it; rows without words are not in it."""
-    keyed = docs.select(*DOCUMENT, _key().alias("_key"))
-    copies = mix(keyed, doc_id="_key").filter("copies > 0").groupBy(F.col("doc_id").alias("_key")).agg(
-        F.sum("copies").cast("int").alias("_copies")
-    )
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    once = keyed.join(copies, "_key").withColumn("_turn", turn).filter("_turn = 1")
+    """As many copies of each document as the mix takes of it; rows without words are not in it.
+
+    Only ids and hashes are mixed and counted. The texts are read once, dealt by hash and meet
+    their number of copies in a hash table of those narrow rows, so no text is sorted.
+    """
+    docs = docs.select(*DOCUMENT)
+    mixed = mix(docs.select("source", "text", _whole_key().alias("_key")), doc_id="_key")
+    taken = mixed.groupBy(F.col("doc_id").alias("_key")).agg(
+        F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+    ).filter("_copies > 0")
+    taken = stage(taken, "pipeline-copies")
+    keyed = docs.withColumn("_key", _whole_key()).join(taken.hint("shuffle_hash"), "_key")
+    single = keyed.filter("_rows = 1").select(*DOCUMENT, "_copies")
+    # Rows that are alike take their copies together.
+    alike = keyed.filter("_rows > 1").groupBy(*DOCUMENT).agg(F.max("_copies").alias("_copies"))
+    once = single.unionByName(alike) if taken.filter("_rows > 1").limit(1).count() else single
     return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*DOCUMENT)
 
 
@@ -86,9 +100,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, apply in STAGES:
         path = run_dir(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        apply(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
