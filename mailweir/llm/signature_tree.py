@@ -53,7 +53,7 @@ PART = 4096
 TASK_ROWS = 40_000
 #: Bits of the filter that keeps texts out of the shuffle which no pair asks for.
 FILTER_BITS = 1 << 23
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 _NO_ID = (1 << 63) - 1
 
 

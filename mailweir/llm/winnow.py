@@ -33,7 +33,7 @@ K = 5
 #: Bits of the bitmap, a power of two: 512 KB.
 BITMAP_BITS = 1 << 22
 #: Hashes of words a task remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 
 _HIT = pa.struct([
     ("length", pa.int32()), ("pos", pa.int64()), ("hash", pa.int64()),
