@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from mailweir.llm.common import table
 from mailweir.session import run_dir, stage
 
-#: Bytes of text in a bucket.
-BUCKET_BYTES = 32 << 20
-#: Beyond this many buckets they grow instead; a bucket is sorted with spilling, so it may.
-MOST_BUCKETS = 100_000
+#: Bytes of records in a bucket, on which alone the number of buckets depends.
+BUCKET_BYTES = 16 << 20
+#: Repeated rows, as hashes of 8 bytes, up to which they are sent to every task.
+BROADCAST_ROWS = 1 << 18
 #: What a record weighs besides its text.
 OVERHEAD = 16
 
@@ -33,10 +33,24 @@ def text_bytes(text: str | Column = "text") -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
 
 
-def _buckets(docs: DataFrame, text: str, bucket_bytes: int) -> int:
-    total = docs.agg(F.sum(text_bytes(text) + OVERHEAD)).first()[0] or 0
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_BUCKETS, max(least, -(-total // bucket_bytes), 1))
+def _chances(docs: DataFrame, columns: list[str], seed: int) -> DataFrame:
+    """The records with the number that decides on their bucket and their turn in it.
+
+    It is a hash of the whole record. Records equal in all columns would all fall together, so
+    those are told apart by where they stand in the input.
+    """
+    chance = F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(seed))
+    keyed = docs.select(chance.alias("_chance"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_record"))
+    repeats = docs.select(chance.alias("_chance")).groupBy("_chance").count().filter("count > 1")
+    repeats = stage(repeats.select("_chance", F.lit(True).alias("_again")), "shard-repeats")
+    n = repeats.count()
+    if not n:
+        return keyed
+    # Numbers are given before anything is moved, so a task that is done again gives the same ones.
+    numbered = keyed.withColumn("_number", F.monotonically_increasing_id())
+    small = F.broadcast(repeats) if n <= BROADCAST_ROWS else repeats
+    told = F.when(F.col("_again"), F.xxhash64("_chance", "_number")).otherwise(F.col("_chance"))
+    return numbered.join(small, "_chance", "left").select(told.alias("_chance"), "_record")
 
 
 def shuffled(
@@ -47,18 +61,16 @@ def shuffled(
 
     Input columns named ``shard`` or ``slot`` are replaced; any other column stays. A NULL
     text weighs nothing; NULL ids and repeated rows are records like any other; an empty
-    table gives no rows.
+    table gives no rows. The same input falls into the same places, whatever the session's
+    number of shuffle partitions.
     """
     columns = [c for c in docs.columns if c not in ("shard", "slot")]
-    n = _buckets(docs, text, bucket_bytes)
-    chance = F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(seed))
-    keyed = docs.select(
-        F.pmod(F.xxhash64(chance, F.lit(seed + 1)), F.lit(n)).alias("_bucket"),
-        chance.alias("_chance"),
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_record"),
-    )
+    weight = docs.agg(F.sum(text_bytes(text) + OVERHEAD)).first()[0] or 0
+    n = max(1, -(-weight // bucket_bytes))
+    bucket = F.pmod(F.xxhash64("_chance", F.lit(seed + 1)), F.lit(n))
+    keyed = _chances(docs, columns, seed).select(bucket.alias("_bucket"), "_chance", "_record")
     counts = stage(keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")), "shard-buckets")
-    # One row per bucket, MOST_BUCKETS at most.
+    # One row per bucket.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     orders = (
@@ -71,7 +83,8 @@ def shuffled(
     placed = (
         keyed.repartition(n, "_bucket")
         .withColumn("_rank", F.row_number().over(in_bucket) - 1)
-        .join(orders, "_bucket")
+        # A bucket's order meets its records by merging; all orders together grow with the records.
+        .join(orders.hint("merge"), "_bucket")
         .withColumn("_place", F.col("_offset") + F.get("_order", F.col("_rank")))
         .select("_place", "_record")
     )
