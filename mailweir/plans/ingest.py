@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from mailweir.functions.dates import with_mail_date
 from mailweir.operators.combine import first_wins
-from mailweir.operators.increment import plan_increment
+from mailweir.operators.increment import apply_increment, plan_increment
 from mailweir.operators.profile import run_stats
 from mailweir.operators.project import named_headers, scan_headers, to_mail
 from mailweir.operators.screen import INLINE_ENTRIES, as_instant, cutoff, outcome, sender_allow
 from mailweir.operators.sequence import early_stop, until_stop
 from mailweir.session import stage
-from mailweir.sources.load import LoadStats, append_new, stored_ids
+from mailweir.plans.verify import stored_status
+from mailweir.sources import idindex
+from mailweir.sources.load import LoadStats, append_new, stored_ids, sync
 from mailweir.sources.runlog import log_rows, write_run_log, write_run_stats
 from mailweir.sources.snapshots import due, moment_of, retain, snapshot, snapshots
 from mailweir.sources.tables import read_mail, settle
@@ -75,9 +77,16 @@ def run_ingest(
     spark: SparkSession, raw: DataFrame, paths: RunPaths, moment: dt.datetime | str,
     allow: DataFrame | Sequence[str], pos: str = "pos", run_id: str | None = None,
     stop_after: int | None = None, snapshot_every: dt.timedelta = dt.timedelta(0),
-    keep_snapshots: int | None = None,
+    keep_snapshots: int | None = None, day: str | None = None, mode: str = "forward",
+    mirror: str | None = None, index: bool = False,
 ) -> LoadStats:
-    """One batch run: snapshot the table, log every outcome, load what is new.
+    """One batch run: snapshot the table, log every outcome, load what is new, verify.
+
+    ``day`` names the column of ``raw`` by which the landing is partitioned. Only the days that
+    the planned increment asks for are then read, in the given ``mode``, and messages without a day.
+    ``mirror`` is a second store: after the load it is given what it lacks, both are compared, and
+    the run's statistics say whether they agree. ``index`` gives the table an index of its ids; so
+    does a mirror, which by them is compared without reading ids that both have.
 
     A snapshot is taken once ``snapshot_every`` has passed since the last one; with
     ``keep_snapshots`` only that many are kept.
@@ -90,9 +99,13 @@ def run_ingest(
     run_id = run_id or uuid.uuid4().hex
     started = dt.datetime.now(dt.timezone.utc)
     settle(spark, paths.table)
+    if (index or mirror) and not idindex.exists(spark, paths.table):
+        idindex.build(spark, paths.table)
     stored = read_mail(spark, paths.table)
     before = stored.count()
-    plan = plan_increment(stored, moment).first()
+    plan = plan_increment(stored, moment, mode).first()
+    if day is not None:
+        raw = apply_increment(raw, plan["after_day"], plan["before_day"], day)
     outcomes = stage(
         scan_outcomes(raw, lambda ids: stored_ids(spark, paths.table, ids), moment, allow, pos), "outcomes"
     )
@@ -112,6 +125,10 @@ def run_ingest(
         # Copies of a message share a scan position, so it did not tell them apart.
         new = first_wins(new, [pos])
     stats = append_new(new, paths.table, listed, ids=kept.select("id").distinct())
+    status = None
+    if mirror is not None:
+        sync(spark, paths.table, mirror, index=True)
+        status = stored_status(spark, paths.table, mirror).first()["status"]
 
     summary = run_stats(outcomes).select(
         "*",
@@ -125,6 +142,10 @@ def run_ingest(
         F.lit(before).alias("count_before"),
         F.lit(stats.successful).alias("count_new"),
         F.lit(before + stats.successful).alias("count_after"),
+        F.lit(plan["branch"]).alias("branch"),
+        F.lit(plan["after_day"]).cast("date").alias("after_day"),
+        F.lit(plan["before_day"]).cast("date").alias("before_day"),
+        F.lit(status).cast("string").alias("status"),
     )
     write_run_stats(summary, paths.run_stats)
     return stats

@@ -11,6 +11,8 @@ from mailweir.operators.project import id_projection
 from mailweir.plans import verify
 from mailweir.registry import derive as D
 from mailweir.registry.derive import over_mail, over_stores, text_of, ts_sql
+from mailweir.session import run_dir, stage
+from mailweir.sources import load
 
 
 def _stores(spark, sf):
@@ -46,6 +48,32 @@ def reconcile(spark, sf):
     return combine.reconcile(*_stores(spark, sf))
 
 
+def _stored(spark, sf):
+    """Both stores as tables of unique ids, with an index each."""
+    paths, mail = [], D.mail(spark, sf)
+    for df in (D.store_a(mail), D.store_b(mail)):
+        path = run_dir(spark, "mail")
+        load.load_insert_only(df, path, ["pos"], index=True)
+        paths.append(path)
+    return paths
+
+
+def reconcile_digest(spark, sf):
+    """``reconcile`` of two stored tables: ids are read of those buckets only whose digests differ."""
+    return verify.reconcile_stored(spark, *_stored(spark, sf))
+
+
+def stored_status(spark, sf):
+    """The status of a run whose stores differ, and after each has been given what it lacks."""
+    a, b = _stored(spark, sf)
+    before = stage(verify.stored_status(spark, a, b).select(F.lit("before").alias("moment"), "*"), "status")
+    load.sync(spark, a, b)
+    load.sync(spark, b, a)
+    return before.unionByName(
+        verify.stored_status(spark, a, b).select(F.lit("after").alias("moment"), "*")
+    )
+
+
 def verify_gate(spark, sf):
     return combine.verify_gate(*_stores(spark, sf))
 
@@ -123,7 +151,8 @@ def store_comparison(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        merge_new, merge_new_dedup, sync_missing, skip_known, reconcile, verify_gate,
+        merge_new, merge_new_dedup, sync_missing, skip_known, reconcile, reconcile_digest,
+        stored_status, verify_gate,
         verify_gate_after_sync, set_equality, union_all, difference, distinct_ids, ids,
         first_wins, insertable, load_stats, merge_info, run_status,
         store_comparison,
@@ -159,6 +188,18 @@ UNION ALL SELECT 'from ' || coalesce(sender, 'nobody'), CAST(n AS VARCHAR) FROM
     "reconcile": over_stores(
         f"""SELECT {_ONLY.format('a', 'b')} AS only_in_a, {_ONLY.format('b', 'a')} AS only_in_b,
   {_ONLY.format('a', 'b')} > 0 OR {_ONLY.format('b', 'a')} > 0 AS inconsistent"""
+    ),
+    "reconcile_digest": over_stores(
+        f"""SELECT {_ONLY.format('a', 'b')} AS only_in_a, {_ONLY.format('b', 'a')} AS only_in_b,
+  {_ONLY.format('a', 'b')} > 0 OR {_ONLY.format('b', 'a')} > 0 AS inconsistent"""
+    ),
+    "stored_status": over_stores(
+        f"""SELECT 'before' AS moment, count_a, count_b, ids_differing, count_a = count_b AND ids_differing = 0 AS passed,
+  CASE WHEN count_a = count_b AND ids_differing = 0 THEN 'completed' ELSE 'completed_with_warnings' END AS status
+FROM (SELECT (SELECT count(DISTINCT id) FROM a) AS count_a, (SELECT count(DISTINCT id) FROM b) AS count_b,
+  {_ONLY.format('a', 'b')} + {_ONLY.format('b', 'a')} AS ids_differing)
+UNION ALL SELECT 'after', count(DISTINCT id), count(DISTINCT id), 0, true, 'completed'
+FROM (SELECT id FROM a UNION ALL SELECT id FROM b)"""
     ),
     "verify_gate": over_stores(f"SELECT {_GATE}"),
     "verify_gate_after_sync": over_stores(

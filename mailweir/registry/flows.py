@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from mailweir.functions.dates import utc_day, with_mail_date
 from mailweir.operators import screen
-from mailweir.operators.project import scan_headers
+from mailweir.operators.project import named_headers, scan_headers
 from mailweir.plans.ingest import RunPaths, run_ingest
 from mailweir.registry import derive as D
 from mailweir.registry.derive import day_of, day_sql, over_mail, over_scan, over_stores, text_of, ts_sql
@@ -175,11 +176,48 @@ def ingest_stats(spark, sf):
     )
 
 
+def _landing(spark, sf):
+    """Raw mail in a folder per day it is from; mail without a date in one of its own."""
+    path = run_dir(spark, "landing")
+    raw = D.raw_documents(spark, sf)
+    dated = with_mail_date(named_headers(raw), "date").withColumn("landed", utc_day("parsed_ts"))
+    dated.select(*raw.columns, "landed").write.partitionBy("landed").parquet(path)
+    return spark.read.parquet(path)
+
+
+def run_window(spark, sf):
+    """Runs that read the planned days of the landing only, and the store that mirrors the table."""
+    root = run_dir(spark, "run")
+    paths = RunPaths(f"{root}/mail", f"{root}/snapshots", f"{root}/log", f"{root}/stats")
+    raw = _landing(spark, sf)
+    for run_id in ("r1", "r2"):
+        run_ingest(spark, raw, paths, D.CUTOFF, D.ALLOW, run_id=run_id, day="landed", mirror=f"{root}/mirror")
+    return tables.read_mail(spark, f"{root}/mirror").select(
+        "id", "subject", text_of(F.col("parsed_ts")).alias("ts"), "parsed_iso"
+    )
+
+
+def run_gate(spark, sf):
+    """The windows that two runs plan, and how they end."""
+    root = run_dir(spark, "run")
+    paths = RunPaths(f"{root}/mail", f"{root}/snapshots", f"{root}/log", f"{root}/stats")
+    raw = _landing(spark, sf)
+    for run_id in ("r1", "r2"):
+        run_ingest(
+            spark, raw, paths, D.CUTOFF, D.ALLOW, run_id=run_id, day="landed", mode="reference", mirror=f"{root}/mirror"
+        )
+    return runlog.read_run_stats(spark, paths.run_stats).select(
+        "run_id", "branch", day_of(F.col("after_day")).alias("after_day"),
+        day_of(F.col("before_day")).alias("before_day"), "status", "count_after",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         read_raw, write_mail, read_mail_days, mail_json, snapshot_restore, load_insert_only,
         load_indexed, load_counts, load_ties, sync_stores, read_allowlist, run_log, ingest_run, ingest_stats,
+        run_window, run_gate,
     )
 }
 
@@ -246,6 +284,17 @@ UNION ALL SELECT 'second', (SELECT count(*) FROM b), count(*), (SELECT count(*)
         f"""SELECT id, any_value(subject) AS subject, {ts_sql('any_value(ts)')} AS ts, any_value(iso) AS parsed_iso FROM kept GROUP BY id
 UNION ALL SELECT 'p' || md5(html), min_by(url, page_id), NULL, NULL FROM pages
 WHERE contains(regexp_extract(url, '^https?://([^/]+)', 1), 'example.com') GROUP BY 1""", _KEPT
+    ),
+    "run_window": over_scan(
+        f"SELECT id, any_value(subject) AS subject, {ts_sql('any_value(ts)')} AS ts, any_value(iso) AS parsed_iso FROM kept GROUP BY id",
+        _KEPT,
+    ),
+    "run_gate": over_scan(
+        f"""SELECT 'r1' AS run_id, 'initial' AS branch, '2024-11-14' AS after_day, CAST(NULL AS VARCHAR) AS before_day,
+  'completed' AS status, count(DISTINCT id) AS count_after FROM kept
+UNION ALL SELECT 'r2', CASE WHEN max(ts) > TIMESTAMP '2024-11-14' THEN 'historical' ELSE 'newer' END,
+  CASE WHEN max(ts) > TIMESTAMP '2024-11-14' THEN '2024-11-14' ELSE {day_sql("max(ts) + INTERVAL 2 HOUR")} END,
+  CASE WHEN max(ts) > TIMESTAMP '2024-11-14' THEN {day_sql('max(ts)')} END, 'completed', count(DISTINCT id) FROM kept""", _KEPT
     ),
     "ingest_stats": over_scan(
         f"""SELECT 'r1' AS run_id, 'forward' AS direction, CAST(NULL AS VARCHAR) AS existing_latest, {_STATS},

@@ -109,5 +109,9 @@ RUN_STATS = T.StructType(
         T.StructField("count_before", _L),
         T.StructField("count_new", _L),
         T.StructField("count_after", _L),
+        T.StructField("branch", _S),
+        T.StructField("after_day", T.DateType()),
+        T.StructField("before_day", T.DateType()),
+        T.StructField("status", _S),
     ]
 )

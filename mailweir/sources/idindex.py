@@ -10,6 +10,9 @@ off in between, the next one looks its ids up in the table itself, files those t
 again, and sets the load aside. So no message is taken for stored that is not, and none is
 stored twice. As the table, the index has one writer at a time.
 
+``digests`` hold a count and hashes per bucket and load, so that two tables are compared bucket
+by bucket, and only ids of buckets that differ are read.
+
 ``compact`` writes all ids into a new generation, which counts from the moment its mark is there.
 """
 
@@ -32,6 +35,7 @@ BITS = 32_768
 
 _IDS = "id string, load string, bucket int"
 _FILTERS = "bucket int, bits binary"
+_DIGESTS = "bucket int, load string, n bigint, one bigint, two bigint"
 
 
 def _generation(spark: SparkSession, table: str) -> int | None:
@@ -60,6 +64,9 @@ def _record(ids: DataFrame, folder: str, load: str) -> None:
     rows.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{folder}/ids")
     bits = rows.groupBy("bucket").agg(F.bitmap_construct_agg(_bit()).alias("bits"))
     bits.coalesce(1).write.mode("append").parquet(f"{folder}/filters")
+    hashes = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(name) for k, name in ((2, "one"), (3, "two"))]
+    sums = rows.groupBy("bucket", "load").agg(F.count(F.lit(1)).alias("n"), *hashes)
+    sums.coalesce(1).write.mode("append").parquet(f"{folder}/digests")
 
 
 def _generate(spark: SparkSession, table: str, ids: DataFrame) -> None:
@@ -87,17 +94,44 @@ def compact(spark: SparkSession, table: str) -> None:
     _generate(spark, table, stage(entries(spark, table).select("id").distinct(), "index-all"))
 
 
+def _settled(spark: SparkSession, folder: str, part: str, schema: str) -> DataFrame:
+    """A part of the index without loads that broke off and those set aside; both are rare."""
+    path = f"{folder}/{part}"
+    rows = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    out = (names(spark, f"{folder}/begun") - names(spark, f"{folder}/settled")) | names(spark, f"{folder}/void")
+    return rows.filter(~F.col("load").isin(sorted(out))) if out else rows
+
+
 def entries(spark: SparkSession, table: str, buckets: list[int] | None = None) -> DataFrame:
     """``id, load, bucket`` of settled loads, of all buckets or some."""
-    folder = _folder(spark, table)
-    rows = spark.read.schema(_IDS).parquet(f"{folder}/ids") if path_exists(spark, f"{folder}/ids") else (
-        spark.createDataFrame([], _IDS)
+    rows = _settled(spark, _folder(spark, table), "ids", _IDS)
+    if buckets is None:
+        return rows
+    return rows.filter(F.col("bucket").isin(buckets)) if buckets else spark.createDataFrame([], _IDS)
+
+
+def digests(spark: SparkSession, table: str) -> DataFrame:
+    """``bucket, n, one, two``: how many ids a bucket has, and two hashes of them in any order.
+
+    Every load files its own; together they are those of all ids, since a load brings new ids only.
+    """
+    rows = _settled(spark, _folder(spark, table), "digests", _DIGESTS)
+    return rows.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.bit_xor("one").alias("one"), F.bit_xor("two").alias("two")
     )
-    if buckets is not None:
-        rows = rows.filter(F.col("bucket").isin(buckets) if buckets else F.lit(False))
-    # Loads that broke off, and those set aside; both are rare.
-    out = (names(spark, f"{folder}/begun") - names(spark, f"{folder}/settled")) | names(spark, f"{folder}/void")
-    return rows.filter(~F.col("load").isin(sorted(out))) if out else rows
+
+
+def differing(spark: SparkSession, a: str, b: str) -> list[int]:
+    """Buckets in which two tables with indexes hold different ids; from digests, no id is read.
+
+    Should an id be filed twice, after a load that broke off twice, its bucket is named too.
+    """
+    both = digests(spark, a).withColumn("side", F.lit(1)).unionByName(digests(spark, b).withColumn("side", F.lit(2)))
+    seen = both.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("sides"), F.count_distinct("n", "one", "two").alias("kinds")
+    )
+    # At most BUCKETS numbers.
+    return sorted(r[0] for r in seen.filter("sides < 2 or kinds > 1").select("bucket").collect())
 
 
 def _asked(spark: SparkSession, table: str, ids: DataFrame) -> DataFrame:

@@ -105,7 +105,19 @@ def sync(
     spark: SparkSession, source: str, target: str,
     order: Sequence[str | Column] | None = None, index: bool = False,
 ) -> tuple[LoadStats, bool]:
-    """Insert into ``target`` what it lacks of ``source``; whether the counts then agree."""
+    """Insert into ``target`` what it lacks of ``source``; whether the counts then agree.
+
+    Where both have an index of ids, only buckets that differ are looked into, and of the source
+    only messages that the target lacks are offered.
+    """
+    settle(spark, source)
     a = read_mail(spark, source)
+    if idindex.exists(spark, source) and idindex.exists(spark, target):
+        for table in (source, target):
+            idindex.recover(spark, table)
+        buckets = idindex.differing(spark, source, target)
+        here, there = (idindex.entries(spark, t, buckets).select("bucket", "id") for t in (source, target))
+        lacking = stage(here.join(there, ["bucket", "id"], "left_anti").select("id").distinct(), "sync-lacking")
+        a = a.join(lacking, "id", "left_semi")
     stats = load_insert_only(a, target, order, index=index)
-    return stats, a.count() == read_mail(spark, target).count()
+    return stats, read_mail(spark, source).count() == read_mail(spark, target).count()
