@@ -76,6 +76,7 @@ class PieceTable:
             elif not special[i]:
                 self.values[i] = name.replace(SPACE, " ").encode()
         self.is_byte = np.array(byte)
+        self.spelled = pa.array(self.values, pa.binary())
         normal = [i for i in range(n) if not special[i] and not byte[i]]
         self.score = {names[i]: library.get_score(i) for i in normal}
         # Symbols: the pieces, then characters that only longer pieces have, then one for all others.
@@ -363,16 +364,43 @@ def piece_table(model: str) -> PieceTable:
     return PieceTable(model)
 
 
+def _ids(pieces: PieceTable, texts: pa.Array) -> pa.ListArray:
+    ids, offsets = pieces.encode_array(texts)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _texts(pieces: PieceTable, lists: pa.ListArray) -> pa.Array:
+    """The text of each list of ids."""
+    lists = pc.fill_null(lists, pa.scalar([], pa.list_(pa.int32())))
+    flat = lists.flatten()
+    n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    upto = np.concatenate([[0], np.cumsum(n)])
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pieces.spelled.take(flat)), b"")
+    first = flat.take(pa.array(np.minimum(upto[:-1], max(len(flat) - 1, 0)))).to_numpy() if len(flat) else n
+    spaced = (n > 0) & ~pieces.is_byte[first]
+    out = []
+    for row, data in enumerate(joined.to_pylist()):
+        try:
+            text = data.decode()
+            out.append(text[1:] if spaced[row] and data[:1] == b" " else text)
+        except UnicodeDecodeError:
+            out.append(pieces.decode(lists[row].as_py()))
+    return pa.array(out, pa.string())
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    rows = spread(docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")))
+    return rows, rows.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids``: the ids of every whole text, in the order of the text."""
-    rows = spread(docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows, kind = _rows(docs, doc_id, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_table(model)
         for part in (p for batch in batches for p in bounded(batch)):
-            ids, offsets = pieces.encode_array(part.column("text"))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            lists = _ids(pieces, part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -380,44 +408,40 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """The rows with a column ``decoded``; NULL ids decode to an empty text."""
-    import copy
-
-    schema = copy.deepcopy(encoded.schema)
-    fields = [f for f in schema.fields if f.name != "decoded"]
+    fields = [f for f in encoded.schema.fields if f.name != "decoded"]
     names = [f.name for f in fields]
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_table(model)
-        values = pa.array(pieces.values, pa.binary())
         for batch in batches:
-            lists = pc.fill_null(batch.column(ids), pa.scalar([], pa.list_(pa.int32())))
-            flat = lists.flatten()
-            n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-            joined = pc.binary_join(pa.ListArray.from_arrays(offsets, values.take(flat)), b"")
-            texts = []
-            for row, data in enumerate(joined.to_pylist()):
-                try:
-                    text = data.decode()
-                    first = int(offsets[row].as_py())
-                    if n[row] and data[:1] == b" " and not pieces.is_byte[flat[first].as_py()]:
-                        text = text[1:]
-                except UnicodeDecodeError:
-                    text = pieces.decode(lists[row].as_py())
-                texts.append(text)
-            columns = [batch.column(name) for name in names] + [pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "decoded"])
+            columns = [batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*columns, _texts(pieces, batch.column(ids))], [*names, "decoded"])
 
     return encoded.select(*names).mapInArrow(run, f"{head}, decoded string")
 
 
+def coded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: ``decode(encode(..))`` with one Python worker a task instead of two."""
+    rows, kind = _rows(docs, doc_id, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_table(model)
+        for part in (p for batch in batches for p in bounded(batch)):
+            lists = _ids(pieces, part.column("text"))
+            columns = [part.column("doc_id"), lists, _texts(pieces, lists)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+            del lists, columns
+            pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def op12_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     import public_tokenizers
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    done = decode(encode(table(spark, sf_dir, "documents"), model), model)
+    done = coded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return done.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

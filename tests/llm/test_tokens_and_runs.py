@@ -203,6 +203,17 @@ def test_op12_equals_the_library(spark, tmp_path, library):
     assert Counter(map(tuple, found)) == want
 
 
+def test_encoding_and_decoding_alone(spark, library):
+    df = spark.createDataFrame([(i, t, "x") for i, t in ODD], "doc_id bigint, text string, decoded string")
+    ids = piece_table.encode(df, PIECES)
+    back = piece_table.decode(ids.withColumn("decoded", ids["doc_id"]), PIECES).collect()
+    want = [(i, library.encode(t or ""), library.decode(library.encode(t or "")) or "") for i, t in ODD]
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted(map(tuple, back), key=key) == sorted(want, key=key)
+    nothing = spark.createDataFrame([(1, None), (2, [])], "n int, ids array<int>")
+    assert [r["decoded"] for r in piece_table.decode(nothing, PIECES).collect()] == ["", ""]
+
+
 # ---- alignment -------------------------------------------------------------------------
 
 def plain_alignment(rows, library):
