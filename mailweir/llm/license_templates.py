@@ -15,7 +15,7 @@ remembered, so reading a word is one look-up.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 
 import pyarrow as pa
@@ -165,29 +165,45 @@ class Template:
                     todo.append(state)
         return frozenset(seen)
 
-    def accepts(self, words: Sequence[bytes]) -> bool:
-        """Whether a prefix of ``words`` is the template's text.
-
-        A number at its end is whole: no other number follows.
+    def _step(self, states: frozenset, word: bytes) -> frozenset:
+        key = (states, word)
+        after = self.steps.get(key)
+        if after is None:
+            if len(self.steps) >= STEPS:
+                self.steps.clear()
+            after = self.steps[key] = self._reach({
+                to for s in states for w, to in self.ways[s]
+                if (w == word if isinstance(w, bytes) else w.fullmatch(word))
+            })
+        return after
+
+    def found(self, words: Sequence[bytes], starts: Iterable[int]) -> bool:
+        """Whether the template's text begins at one of the ascending ``starts``.
+
+        All starts are followed in one pass, as one set of states, so a word is looked at once
+        however many starts lie before it. A number at the end is whole: no other number follows.
         """
-        states = self._reach({0})
-        for word, following in zip(words, (*words[1:], b"")):
-            key = (states, word)
-            after = self.steps.get(key)
-            if after is None:
-                if len(self.steps) >= STEPS:
-                    self.steps.clear()
-                after = self.steps[key] = self._reach({
-                    to for s in states for w, to in self.ways[s]
-                    if (w == word if isinstance(w, bytes) else w.fullmatch(word))
-                })
-            states = after
-            if self.end in states and not (word.isdigit() and following.isdigit()):
+        begin, none = self._reach({0}), frozenset()
+        coming = iter(starts)
+        start = next(coming, None)
+        at, states = start, none
+        while at is not None and at < len(words):
+            if at == start:
+                states |= begin
+                start = next(coming, None)
+            word = words[at]
+            states = self._step(states, word)
+            at += 1
+            if self.end in states and not (word.isdigit() and at < len(words) and words[at].isdigit()):
                 return True
             if not states:
-                return False
+                at = start
         return False
 
+    def accepts(self, words: Sequence[bytes]) -> bool:
+        """Whether a prefix of ``words`` is the template's text."""
+        return self.found(words, [0])
+
 
 def places(text: bytes, phrase: bytes) -> Iterator[int]:
     """Word numbers at which ``phrase`` stands; both are words between single spaces."""
@@ -214,9 +230,7 @@ def scan_words(words: list[bytes], phrases: Sequence[tuple[str, str]], templates
             starts += found
     own = set()
     for template in templates:
-        if template.label not in own and any(
-            template.accepts(words[at:]) for at in places(text, template.anchor)
-        ):
+        if template.label not in own and template.found(words, places(text, template.anchor)):
             own.add(template.label)
     return {
         "n_words": len(words),
