@@ -33,7 +33,9 @@ RULES = (
     ("allow", "com/fr/"), ("block", "com/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 12
+#: Scores are settled once this little moves, summed over all hosts, from one checkpoint to the
+#: next. What then still is to come is less than twice that, as damping shrinks it each round.
+TOLERANCE = 1e-6
 #: Rounds between checkpoints.
 CUT = 4
 #: A subdomain edge weighs as much as a link found on one page.
@@ -110,12 +112,16 @@ def host_edges(judged: DataFrame) -> DataFrame:
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Trust along the edges and distrust against them: ``host, trust, distrust``.
 
     ``seeds`` has ``host, kind, weight`` with kind ``trust`` or ``distrust``. Each kind's
-    restarts sum to one. What reaches a host without an edge onward ends there.
+    restarts sum to one. What reaches a host without an edge onward ends there. Rounds go on
+    until the scores are settled; each shrinks what is left by the damping at least, so their
+    number follows from it and the tolerance, and a host is reached from as many edges away.
+    ``rounds`` asks for a fixed number instead.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     along = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight")
@@ -132,15 +138,21 @@ def propagate(
         "trust-seeds",
     )
     restart = start.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
-    scores = start
-    for turn in range(1, rounds + 1):
-        moved = (
-            ways.join(scores.withColumnRenamed("host", "src"), ["kind", "src"])
-            .select("kind", F.col("dst").alias("host"), (F.col("part") * F.col("score")).alias("score"))
-        )
-        scores = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if turn % CUT == 0:
-            scores = scores.checkpoint()
+    scores, turn = start, 0
+    while turn != rounds:
+        before = scores
+        for _ in range(CUT if rounds is None else min(CUT, rounds - turn)):
+            turn += 1
+            moved = (
+                ways.join(scores.withColumnRenamed("host", "src"), ["kind", "src"])
+                .select("kind", F.col("dst").alias("host"), (F.col("part") * F.col("score")).alias("score"))
+            )
+            scores = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        scores = scores.checkpoint()
+        both = scores.unionByName(before.select("kind", "host", (-F.col("score")).alias("score")))
+        change = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("by")).agg(F.sum("by")).first()[0]
+        if rounds is None and (change or 0.0) < tolerance:
+            break
     return scores.groupBy("host").agg(
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")]
     )
@@ -148,7 +160,7 @@ def propagate(
 
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, threshold: float = 0.0,
-    page_id: str = "page_id", url: str = "url", html: str = "html", rounds: int = ROUNDS,
+    page_id: str = "page_id", url: str = "url", html: str = "html", tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """A verdict for every page: ``page_id, host, path, rule, verdict, trust, distrust``.
 
@@ -172,7 +184,7 @@ def judge(
     )
     edges, seeds = stage(host_edges(judged), "trust-edges"), stage(seeds, "trust-found")
     # Written first, so that the pages of a hot host can be split over tasks.
-    scores = stage(propagate(edges, seeds, rounds=rounds), "trust-scores")
+    scores = stage(propagate(edges, seeds, tolerance=tolerance), "trust-scores")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     own = F.when(distrust - trust > threshold, "block").otherwise("allow")
     return judged.join(scores, "host", "left").select(
