@@ -19,6 +19,7 @@ The files are Parquet, so any store Spark reaches will do. One row is a block:
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -46,6 +47,19 @@ PIECE_BYTES = 12 << 20
 # What may follow the letters of a word: no apostrophe, which the tokenizer joins with some letters.
 _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
 
+# The normalizer, pre-tokenizer and word end of tokenizers that work word by word.
+_BY_WORDS = [
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "</w>",
+]
+
 BLOCKS = (
     "shard int, block int, base bigint, doc_ids array<bigint>, lengths array<bigint>, "
     "n_ids bigint, words binary, escapes binary"
@@ -140,6 +154,8 @@ class _Encoder:
     distinct pieces found by Arrow. Runs of letters are new most often; they are encoded
     many at a time and told apart by the ids that end a word. Anything unusual inside a
     piece (digits, an apostrophe, rarer white space) is left to the tokenizer as it stands.
+
+    That holds for tokenizers whose file says so; with any other one texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -147,6 +163,9 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        said = [spec["normalizer"], spec["pre_tokenizer"], spec["model"].get("end_of_word_suffix")]
+        self.by_words = said == _BY_WORDS
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
@@ -199,6 +218,9 @@ class _Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
+        if not self.by_words:
+            found = self._plainly(texts.to_pylist())
+            return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         place = coded.indices.to_numpy(zero_copy_only=False)
