@@ -53,12 +53,12 @@ def read_mail_days(spark, sf):
     return _shown(tables.read_mail(spark, path).filter(days))
 
 
-def mail_json(spark, sf):
-    """Records exported in the interchange layout and read back."""
-    path = run_dir(spark, "mail-json")
+def _json_records(spark, sf):
     iso = F.date_format("parsed_ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    tables.write_mail_json(D.mail_records(spark, sf).withColumn("parsed_iso", iso), path)
-    back = tables.read_mail_json(spark, path)
+    return D.mail_records(spark, sf).withColumn("parsed_iso", iso)
+
+
+def _json_shown(back):
     return back.select(
         "id", F.col("from").alias("sender"), text_of(F.col("parsed_ts")).alias("ts"),
         "tz_offset_min", F.col("body").isNull().alias("no_body"),
@@ -66,6 +66,20 @@ def mail_json(spark, sf):
     )
 
 
+def mail_json(spark, sf):
+    """Records exported in the interchange layout and read back."""
+    path = run_dir(spark, "mail-json")
+    tables.write_mail_json(_json_records(spark, sf), path)
+    return _json_shown(tables.read_mail_json(spark, path))
+
+
+def mail_json_array(spark, sf):
+    """Records exported as arrays, and read back by their quotes and braces."""
+    path = run_dir(spark, "mail-json")
+    tables.write_mail_json(_json_records(spark, sf), path, layout="array")
+    return _json_shown(tables.read_mail_json(spark, path, layout="array"))
+
+
 def snapshot_restore(spark, sf):
     """A snapshot survives the table it was taken from being overwritten."""
     table, root = run_dir(spark, "mail"), run_dir(spark, "snapshots")
@@ -215,7 +229,7 @@ def run_gate(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        read_raw, write_mail, read_mail_days, mail_json, snapshot_restore, load_insert_only,
+        read_raw, write_mail, read_mail_days, mail_json, mail_json_array, snapshot_restore, load_insert_only,
         load_indexed, load_counts, load_ties, sync_stores, read_allowlist, run_log, ingest_run, ingest_stats,
         run_window, run_gate,
     )
@@ -252,6 +266,10 @@ ORACLE = {
     ),
     "mail_json": over_mail(
         f"""SELECT id, sender, {ts_sql('ts')} AS ts, CASE WHEN ts IS NOT NULL THEN 0 END AS tz_offset_min,
+  content IS NULL AS no_body, CASE WHEN content IS NOT NULL AND n_chars % 3 = 0 THEN 2 ELSE 0 END AS n_urls FROM mail"""
+    ),
+    "mail_json_array": over_mail(
+        f"""SELECT id, sender, {ts_sql('ts')} AS ts, CASE WHEN ts IS NOT NULL THEN 0 END AS tz_offset_min,
   content IS NULL AS no_body, CASE WHEN content IS NOT NULL AND n_chars % 3 = 0 THEN 2 ELSE 0 END AS n_urls FROM mail"""
     ),
     "snapshot_restore": over_stores(f"SELECT {_SHOWN} FROM a"),

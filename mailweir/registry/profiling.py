@@ -59,16 +59,24 @@ def quality_summary(spark, sf):
     )
 
 
+_WHOLE = ("min_length", "max_length", "total_urls", "missing_dates", "missing_bodies", "missing_subjects", "empty_texts")
+
+
 def quality_report(spark, sf):
-    """The counted sections of the report as one table; its summary is ``quality_summary``."""
-    mail = D.mail(spark, sf, heavy=True).withColumn("body", F.lit(None).cast(BODY))
-    found = report_of(mail)
+    """All sections of the report over whole bodies, as one table."""
+    found = report_of(D.mail_records(spark, sf))
+    figures = F.array(*[F.struct(F.lit(n).alias("item"), F.col(n).cast("bigint").alias("n")) for n in _WHOLE])
+    means = F.array(*[
+        F.struct(F.lit(n).alias("item"), F.floor(F.col(n) * 1000).cast("bigint").alias("n")) for n in ("avg_length", "avg_urls")
+    ])
     parts = [
         found["daily"].select(F.lit("daily").alias("section"), day_of(F.col("day")).alias("item"), "n"),
         found["top_senders"].select(F.lit("top_senders"), "from", "n"),
         found["keywords"].select(F.lit("keywords"), "keyword", "n"),
         found["duplicates"].select(F.lit("duplicates"), F.lit(None).cast("string"), "duplicate_ids"),
         found["summary"].select(F.lit("total"), F.lit(None).cast("string"), "total"),
+        found["summary"].select(F.lit("content"), F.inline(F.concat(figures, means))),
+        found["sample"].select(F.lit("sample"), F.concat("id", F.lit(" "), "subject"), F.lit(1).cast("bigint")),
     ]
     return reduce(lambda a, b: a.unionAll(b), parts)
 
@@ -201,6 +209,7 @@ _BODIES = body_sql("mail", "content", "pos, id, ts, subject")
 _STATS = """round(avg(length(clean)), 6) AS avg_length, CAST(min(length(clean)) AS BIGINT) AS min_length,
   CAST(max(length(clean)) AS BIGINT) AS max_length, CAST(sum(coalesce(len(urls), 0)) AS BIGINT) AS total_urls,
   round(avg(coalesce(len(urls), 0)), 6) AS avg_urls"""
+# Words that are no keywords.
 _STOP = "('the','a','an','and','or','but','in','on','at','to','for','of','with','by')"
 
 
@@ -248,7 +257,14 @@ UNION ALL SELECT 'top_senders', sender, n FROM (
   SELECT sender, count(*) AS n FROM mail GROUP BY sender ORDER BY n DESC, sender NULLS FIRST LIMIT 5)
 UNION ALL SELECT 'keywords', keyword, n FROM (WITH {_keywords_sql('mail', 'subject')})
 UNION ALL SELECT 'duplicates', NULL, count(*) FROM (SELECT id FROM mail GROUP BY id HAVING count(*) > 1)
-UNION ALL SELECT 'total', NULL, count(*) FROM mail"""
+UNION ALL SELECT 'total', NULL, count(*) FROM mail
+UNION ALL SELECT 'content', unnest(['min_length', 'max_length', 'total_urls', 'missing_dates', 'missing_bodies',
+    'missing_subjects', 'empty_texts', 'avg_length', 'avg_urls']),
+  unnest([min(length(clean)), max(length(clean)), sum(coalesce(len(urls), 0)), count(*) FILTER (ts IS NULL),
+    count(*) FILTER (t IS NULL), count(*) FILTER (subject IS NULL), count(*) FILTER (clean = ''),
+    CAST(floor(avg(length(clean)) * 1000) AS BIGINT), CAST(floor(avg(coalesce(len(urls), 0)) * 1000) AS BIGINT)]) FROM bodies
+UNION ALL SELECT 'sample', id || ' ' || subject, 1 FROM (
+  SELECT id, coalesce(subject, 'No subject') AS subject FROM mail ORDER BY id, 2 LIMIT 5)""", _BODIES
     ),
     "keywords": "WITH " + _keywords_sql("documents", "text"),
     "subject_keywords": over_mail("", _keywords_sql("mail", "subject")),

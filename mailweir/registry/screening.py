@@ -23,12 +23,12 @@ EVENT_OUTCOME = {
 
 
 def _scanned(spark, sf):
-    return scan_headers(D.raw_documents(spark, sf, bodies=False))
+    return scan_headers(D.raw_documents(spark, sf))
 
 
 def first_headers(spark, sf):
     headers = F.col("payload.headers")
-    return D.raw_documents(spark, sf, bodies=False).select(
+    return D.raw_documents(spark, sf).select(
         "pos",
         first_header(headers, "From").alias("sender"),
         first_header(headers, "Subject").alias("subject"),
@@ -105,7 +105,7 @@ def html_flags(spark, sf):
 
 def _outcomes(spark, sf, **options):
     known = D.mail(spark, sf).filter("lang = 'es'").select("id")
-    return scan_outcomes(D.raw_documents(spark, sf, bodies=False), known, D.CUTOFF, D.ALLOW, **options)
+    return scan_outcomes(D.raw_documents(spark, sf), known, D.CUTOFF, D.ALLOW, **options)
 
 
 def outcome(spark, sf):

@@ -180,15 +180,18 @@ def read_mail_json(spark: SparkSession, path: str, layout: str = "lines") -> Dat
     ``lines``: one object per line. ``indented``: one array, four spaces per
     level, as the standard library writes it with ``indent=4``; its records are
     told apart by their line breaks, so a large file is read by many tasks.
-    ``array``: one array in any other layout, which JSON only lets one task read
-    per file. A body that is the empty string is NULL.
+    ``array``: an array in any layout, taken apart by its quotes and braces, which many tasks
+    can do as well, in more steps. A body that is the empty string is NULL.
     """
     if not path_exists(spark, path):
         return empty_mail(spark)
     if layout == "lines":
         return _from_json_layout(spark.read.schema(MAIL_JSON).json(path))
     if layout == "array":
-        return _from_json_layout(spark.read.schema(MAIL_JSON).option("multiLine", True).json(path))
+        from mailweir.sources.jsonarray import read_objects
+
+        objects = read_objects(spark, path).select(F.from_json("value", MAIL_JSON, {"mode": "FAILFAST"}).alias("r"))
+        return _from_json_layout(objects.select("r.*"))
     if layout != "indented":
         raise ValueError(f"unknown layout: {layout}")
     # A string cannot hold a raw line break, so this separator only occurs between records.
@@ -200,13 +203,23 @@ def read_mail_json(spark: SparkSession, path: str, layout: str = "lines") -> Dat
     return _from_json_layout(records.select(parsed.alias("r")).select("r.*"))
 
 
-def write_mail_json(mail: DataFrame, path: str) -> None:
-    """Export in the interchange layout, one object per line, latest first over all files."""
-    rows = conform(mail).orderBy(F.col("parsed_ts").desc_nulls_last(), F.col("id"))
-    rows.select(
+def write_mail_json(mail: DataFrame, path: str, layout: str = "lines") -> None:
+    """Export in the interchange layout, latest first over all files.
+
+    ``lines``: one object per line. ``array``: every file is one array.
+    """
+    rows = conform(mail).orderBy(F.col("parsed_ts").desc_nulls_last(), F.col("id")).select(
         "id", "threadId", "internalDate", "date", F.col("parsed_iso").alias("parsedDate"),
         "from", "subject", "body", "status", "snippet", "labelIds", "_imported_at",
-    ).write.mode("overwrite").json(path)
+    )
+    if layout == "lines":
+        rows.write.mode("overwrite").json(path)
+        return
+    if layout != "array":
+        raise ValueError(f"unknown layout: {layout}")
+    from mailweir.sources.jsonarray import write_objects
+
+    write_objects(rows.select(F.to_json(F.struct(*rows.columns)).alias("value")), path)
 
 
 __all__ = [
