@@ -38,6 +38,9 @@ DAMPING = 0.85
 TOLERANCE = 1e-6
 #: Rounds between checkpoints.
 CUT = 4
+#: Edges a task works on at least: small graphs make few tasks and files a round, however many
+#: partitions the session's shuffles have.
+TASK_EDGES = 250_000
 #: A subdomain edge weighs as much as a link found on one page.
 SITE_WEIGHT = 1.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -138,6 +141,7 @@ def propagate(
         "trust-seeds",
     )
     restart = start.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
+    tasks = max(1, -(-ways.count() // TASK_EDGES))
     scores, turn = start, 0
     while turn != rounds:
         before = scores
@@ -147,10 +151,11 @@ def propagate(
                 ways.join(scores.withColumnRenamed("host", "src"), ["kind", "src"])
                 .select("kind", F.col("dst").alias("host"), (F.col("part") * F.col("score")).alias("score"))
             )
-            scores = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+            scores = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score")).coalesce(tasks)
         scores = scores.checkpoint()
         both = scores.unionByName(before.select("kind", "host", (-F.col("score")).alias("score")))
-        change = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("by")).agg(F.sum("by")).first()[0]
+        moves = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("by"))
+        change = moves.coalesce(tasks).agg(F.sum("by")).first()[0]
         if rounds is None and (change or 0.0) < tolerance:
             break
     return scores.groupBy("host").agg(
