@@ -17,8 +17,9 @@ from mailweir.operators.profile import run_stats
 from mailweir.operators.project import named_headers, scan_headers, to_mail
 from mailweir.operators.screen import INLINE_ENTRIES, as_instant, cutoff, outcome, sender_allow
 from mailweir.operators.sequence import early_stop, until_stop
-from mailweir.session import stage
+from mailweir.plans import dayprofile
 from mailweir.plans.verify import stored_status
+from mailweir.session import stage
 from mailweir.sources import idindex
 from mailweir.sources.load import LoadStats, append_new, stored_ids, sync
 from mailweir.sources.runlog import log_rows, write_run_log, write_run_stats
@@ -78,7 +79,7 @@ def run_ingest(
     allow: DataFrame | Sequence[str], pos: str = "pos", run_id: str | None = None,
     stop_after: int | None = None, snapshot_every: dt.timedelta = dt.timedelta(0),
     keep_snapshots: int | None = None, day: str | None = None, mode: str = "forward",
-    mirror: str | None = None, index: bool = False,
+    mirror: str | None = None, index: bool = False, profile: bool = False,
 ) -> LoadStats:
     """One batch run: snapshot the table, log every outcome, load what is new, verify.
 
@@ -86,7 +87,8 @@ def run_ingest(
     the planned increment asks for are then read, in the given ``mode``, and messages without a day.
     ``mirror`` is a second store: after the load it is given what it lacks, both are compared, and
     the run's statistics say whether they agree. ``index`` gives the table an index of its ids; so
-    does a mirror, which by them is compared without reading ids that both have.
+    does a mirror, which by them is compared without reading ids that both have. ``profile`` brings
+    the table's profile up to date, from the files that the load has added.
 
     A snapshot is taken once ``snapshot_every`` has passed since the last one; with
     ``keep_snapshots`` only that many are kept.
@@ -125,6 +127,8 @@ def run_ingest(
         # Copies of a message share a scan position, so it did not tell them apart.
         new = first_wins(new, [pos])
     stats = append_new(new, paths.table, listed, ids=kept.select("id").distinct())
+    if profile:
+        dayprofile.refresh(spark, paths.table)
     status = None
     if mirror is not None:
         sync(spark, paths.table, mirror, index=True)

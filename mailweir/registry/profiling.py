@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from mailweir.operators import order, profile, sequence
 from mailweir.operators.screen import as_instant
+from mailweir.plans import dayprofile
 from mailweir.plans.verify import quality_report as report_of
 from mailweir.plans.verify import summary
 from mailweir.registry import derive as D
 from mailweir.registry.derive import day_of, day_sql, over_mail, text_of, ts_sql
-from mailweir.schemas import BODY
+from mailweir.session import run_dir
+from mailweir.sources import tables
 
 AS_OF = "2025-01-01T00:00:00+00:00"
 
@@ -62,9 +64,8 @@ def quality_summary(spark, sf):
 _WHOLE = ("min_length", "max_length", "total_urls", "missing_dates", "missing_bodies", "missing_subjects", "empty_texts")
 
 
-def quality_report(spark, sf):
-    """All sections of the report over whole bodies, as one table."""
-    found = report_of(D.mail_records(spark, sf))
+def _sections(found):
+    """All sections of a report as one table."""
     figures = F.array(*[F.struct(F.lit(n).alias("item"), F.col(n).cast("bigint").alias("n")) for n in _WHOLE])
     means = F.array(*[
         F.struct(F.lit(n).alias("item"), F.floor(F.col(n) * 1000).cast("bigint").alias("n")) for n in ("avg_length", "avg_urls")
@@ -81,6 +82,50 @@ def quality_report(spark, sf):
     return reduce(lambda a, b: a.unionAll(b), parts)
 
 
+def quality_report(spark, sf):
+    """All sections of the report over whole bodies."""
+    return _sections(report_of(D.mail_records(spark, sf)))
+
+
+def _profiled(spark, sf, counted=None):
+    """A table loaded in three steps, each added to its profile, whose parts are merged once."""
+    path = run_dir(spark, "mail")
+    mail = D.mail_records(spark, sf)
+    for n, part in enumerate((F.col("lang") == "de", F.col("lang") == "es", ~F.col("lang").isin("de", "es"))):
+        tables.write_mail(mail.filter(part), path, mode="append")
+        dayprofile.refresh(spark, path, counted)
+        if n == 1:
+            dayprofile.compact(spark, path)
+    return path
+
+
+def report_incremental(spark, sf):
+    """The same report from the profile kept per day, brought up to date by every load."""
+    return _sections(dayprofile.report(spark, _profiled(spark, sf)))
+
+
+def profile_days(spark, sf):
+    """The figures kept per day."""
+    return dayprofile.days(spark, _profiled(spark, sf)).select(
+        day_of(F.col("day")).alias("day"), text_of(F.col("earliest")).alias("earliest"),
+        text_of(F.col("latest")).alias("latest"), "total", "lengths", "length_sum", "min_length", "max_length",
+        "urls", "missing_bodies", "missing_subjects", "empty_texts",
+    )
+
+
+def profile_items(spark, sf):
+    """Categories of cleaned texts by day and long words of subjects, counted as the table is loaded."""
+    words = F.filter(F.split(F.lower("subject"), " "), lambda w: F.length(w) >= 8)
+    path = _profiled(spark, sf, {
+        "category": profile.categories(F.col("body.clean_text"), D.RULES), "theme": F.array_distinct(words),
+    })
+    by_day = dayprofile.counts(spark, path, "category", by_day=True)
+    themes = dayprofile.counts(spark, path, "theme")
+    return by_day.select(F.lit("category").alias("kind"), day_of(F.col("day")).alias("day"), "item", "n").unionByName(
+        themes.select(F.lit("theme").alias("kind"), F.lit(None).cast("string").alias("day"), "item", "n")
+    )
+
+
 def keywords(spark, sf):
     return profile.top_keywords(D.table(spark, sf, "documents", heavy=True), column="text")
 
@@ -180,7 +225,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         total, date_range, latest_date, freshness, top_senders, daily, content_stats,
-        quality_summary, quality_report, keywords, subject_keywords, null_audit, dup_ids, dup_id_count,
+        quality_summary, quality_report, report_incremental, profile_days, profile_items, keywords, subject_keywords, null_audit, dup_ids, dup_id_count,
         category_daily, category_share, themes, sort_recent, sort_recent_plain, top_k,
         first_last, sample, progress, final_progress,
     )
@@ -312,3 +357,22 @@ FROM (SELECT * FROM mail WHERE ts IS NOT NULL ORDER BY ts, id, pos LIMIT 1) f,
   max(total_processed) AS tracked, max_by(count_a, d) AS total_processed,
   max_by(count_a, d) <> max(total_processed) AS mismatch FROM tracked""",
 }
+# The same report, and the figures it is made of.
+ORACLE["report_incremental"] = ORACLE["quality_report"]
+ORACLE["profile_days"] = over_mail(
+    f"""SELECT {day_sql('ts')} AS day, {ts_sql('min(ts)')} AS earliest, {ts_sql('max(ts)')} AS latest, count(*) AS total,
+  count(clean) AS lengths, CAST(coalesce(sum(length(clean)), 0) AS BIGINT) AS length_sum,
+  CAST(min(length(clean)) AS BIGINT) AS min_length, CAST(max(length(clean)) AS BIGINT) AS max_length,
+  CAST(sum(coalesce(len(urls), 0)) AS BIGINT) AS urls, count(*) FILTER (t IS NULL) AS missing_bodies,
+  count(*) FILTER (subject IS NULL) AS missing_subjects, count(*) FILTER (clean = '') AS empty_texts
+FROM bodies GROUP BY 1""", _BODIES
+)
+_CLEAN_RULES = " UNION ALL ".join(
+    f"SELECT ts, '{name}' AS category FROM bodies WHERE regexp_matches(clean, '{rule}')" for name, rule in D.RULES
+)
+ORACLE["profile_items"] = over_mail(
+    f"""SELECT 'category' AS kind, {day_sql('ts')} AS day, category AS item, count(*) AS n FROM ({_CLEAN_RULES}) GROUP BY 2, 3
+UNION ALL SELECT 'theme', NULL, word, count(*) FROM (
+  SELECT unnest(list_distinct(list_filter(string_split(lower(subject), ' '), lambda w: length(w) >= 8))) AS word FROM mail)
+GROUP BY word""", _BODIES
+)
