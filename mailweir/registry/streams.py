@@ -12,6 +12,7 @@ from mailweir.sources.raw import write_raw
 from mailweir.sources.runlog import read_run_log
 from mailweir.sources.tables import read_mail
 from mailweir.streaming.ingest import ingest_landed, ingest_stateful, read_stream, start_ingest
+from mailweir.streaming.metrics import batch_metrics
 from mailweir.streaming.progress import progress_rows
 
 #: Files the landed messages are split into, and how many of them one batch admits.
@@ -142,6 +143,20 @@ def stream_log(spark, sf):
     return rows.groupBy("run_id", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_metrics(spark, sf):
+    """What every batch of two equal deliveries did, by the figures kept over the restart."""
+    root = run_dir(spark, "stream")
+    for _ in range(2):
+        _land(D.raw_documents(spark, sf), f"{root}/landing")
+        ingest_landed(
+            spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
+            files_per_batch=None, metrics=f"{root}/metrics",
+        )
+    return batch_metrics(spark, f"{root}/metrics").select(
+        "batch_id", "input_rows", "success", "duplicate", "filtered", "cutoff", "error"
+    )
+
+
 def stream_rejects(spark, sf):
     """Lines that are no message, landed among messages, are set aside with their text."""
     root = run_dir(spark, "stream")
@@ -157,7 +172,7 @@ def stream_rejects(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     stream_ingest, stream_restart, stream_state, stream_resume, stream_batches, stream_progress, stream_table, stream_log,
-    stream_rejects,
+    stream_metrics, stream_rejects,
 )}
 
 _STORED = over_scan(
@@ -176,6 +191,13 @@ ORACLE = {
         """SELECT 'batch-0' AS run_id, outcome AS status, count(*) AS n FROM run1 GROUP BY outcome
 UNION ALL SELECT 'batch-1', outcome, count(*) FROM run2 GROUP BY outcome""", RUNS_SQL
     ),
+    "stream_metrics": over_scan(
+        " UNION ALL ".join(
+            f"SELECT CAST({n} AS BIGINT) AS batch_id, count(*) AS input_rows, " + ", ".join(
+                f"count(*) FILTER (outcome = '{o}') AS {o}" for o in ("success", "duplicate", "filtered", "cutoff", "error")
+            ) + f" FROM run{n + 1}" for n in (0, 1)
+        ), RUNS_SQL
+    ),
     "stream_rejects": "SELECT '{broken ' || doc_id AS line, 'no JSON object' AS reason FROM documents",
     "stream_table": over_mail("SELECT id, any_value(n_chars) AS length FROM mail GROUP BY id"),
 }

@@ -16,7 +16,7 @@ import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +33,7 @@ from mailweir.sources.load import load_insert_only, stored_ids
 from mailweir.sources.raw import CORRUPT
 from mailweir.sources.runlog import log_rows
 from mailweir.sources.tables import DAY, path_exists, read_mail, settle, write_mail
+from mailweir.streaming.metrics import BatchReports, note_outcomes, outcome_figures
 from mailweir.streaming.progress import keep_progress
 
 #: Stands for the arrival of a message that does not say when it arrived: after all others.
@@ -51,7 +52,8 @@ def read_stream(
 
 
 def _start(
-    stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, continuous: str | None
+    stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, continuous: str | None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Hand each batch to ``load``, and keep the progress of all of them."""
     kept: dict = {}
@@ -69,6 +71,8 @@ def _start(
             batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     query = writer.trigger(**trigger).start()
     query.kept_progress = kept
@@ -122,8 +126,9 @@ def _owned(spark: SparkSession, folder: str, query: str) -> str:
 def _write_outcomes(
     batch: DataFrame, table: str, moment: dt.datetime | str, allow: DataFrame | Sequence[str],
     fixed_days: bool, path: str,
-) -> None:
-    """The outcome of every message of a batch, from its headers."""
+) -> dict:
+    """The outcome of every message of a batch, from its headers; how many there are of each,
+    counted by the tasks that write them."""
     spark = batch.sparkSession
     place = F.struct("pos.arrived", "pos.digest", F.monotonically_increasing_id().alias("row"))
     scanned = stage(
@@ -137,7 +142,10 @@ def _write_outcomes(
         return stored_ids(spark, table, ids.withColumn(DAY, utc_day("parsed_ts")), fixed_days)
 
     outcomes = outcome(scanned, stored, moment, allow)
-    log_rows(outcomes, "").drop("run_id").write.mode("overwrite").parquet(path)
+    counted = Observation()
+    rows = log_rows(outcomes, "").drop("run_id").observe(counted, *outcome_figures())
+    rows.write.mode("overwrite").parquet(path)
+    return counted.get
 
 
 def _set_rejects_aside(batch: DataFrame, path: str) -> None:
@@ -153,6 +161,7 @@ def ingest_landed(
     spark: SparkSession, landing: str, table: str, checkpoint: str,
     moment: dt.datetime | str, allow: DataFrame | Sequence[str], files_per_batch: int | None = 70,
     fixed_days: bool = False, log: str | None = None, rejects: str | None = None,
+    metrics: str | None = None,
 ) -> StreamingQuery:
     """Screen, decode and load every raw message that has landed since the last call.
 
@@ -160,7 +169,8 @@ def ingest_landed(
     will be stored are decoded, so a second delivery decodes none. ``log`` is a folder for the
     outcomes, in the layout of the run log with one ``run_id`` a batch, and ``rejects`` one for
     lines that are no message. Queries may share both: batches of all but the first one carry
-    their query's id.
+    their query's id. ``metrics`` is a folder for the figures of each batch, which
+    ``batch_metrics`` reads.
     """
     settle(spark, table)
     # Named after the checkpoint, so that a restart finds what a failed try has written.
@@ -181,9 +191,11 @@ def ingest_landed(
         # A batch that is repeated after a failure keeps the outcomes of its first try: some of
         # its messages may be stored by now, which the load then finds out.
         repeated = path_exists(session, f"{path}/_SUCCESS")
-        if not repeated:
-            _write_outcomes(placed, table, moment, allow, fixed_days, path)
+        figures = None if repeated else _write_outcomes(placed, table, moment, allow, fixed_days, path)
         logged = session.read.parquet(path)
+        if metrics:
+            figures = figures or logged.agg(*outcome_figures()).first().asDict()
+            note_outcomes(session, metrics, query, number, figures)
         ids = logged.filter("status = 'success'").select(F.col("message_id").alias("id"))
         wanted = placed.join(ids, "id", "left_semi")
         records = first_wins(screened_mail(wanted, moment, allow, "pos"), ["pos"])
@@ -192,8 +204,13 @@ def ingest_landed(
         else:
             write_mail(stamp_import(records), table, mode="append", ids=ids.distinct())
 
-    query = _start(stream, load, checkpoint, None)
-    query.awaitTermination()
+    reports = BatchReports(spark, metrics) if metrics else None
+    try:
+        query = _start(stream, load, checkpoint, None, reports.name if reports else None)
+        query.awaitTermination()
+    finally:
+        if reports:
+            reports.close()
     return query
 
 
