@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from mailweir.registry import derive as D
 from mailweir.registry.derive import over_mail, over_scan, text_of, ts_sql
 from mailweir.registry.flows import RUNS_SQL
 from mailweir.session import run_dir
+from mailweir.sources.files import names
 from mailweir.sources.raw import write_raw
 from mailweir.sources.runlog import read_run_log
 from mailweir.sources.tables import read_mail
@@ -15,13 +18,26 @@ from mailweir.streaming.ingest import ingest_landed, ingest_stateful, read_strea
 from mailweir.streaming.metrics import batch_metrics
 from mailweir.streaming.progress import progress_rows
 
-#: Files the landed messages are split into, and how many of them one batch admits.
+#: Files the landed messages are split into at least, and how many of so few one batch admits.
 FILES, FILES_PER_BATCH = 4, 2
 
 
-def _land(df, path, files=None):
-    """Land messages in as many files as the source has partitions, or a given number."""
-    write_raw(df.repartition(files, "pos") if files else df, path)
+def _land(df, path):
+    """Land messages in as many files as the source has partitions."""
+    write_raw(df, path)
+
+
+def _land_for(spark, sf, path, batches):
+    """Land all messages for a number of batches; how many files one batch has to admit for that.
+
+    The tasks and files follow the source, as in ``_land``. Only where these are few does a task
+    split its rows over several files: from ``batches * (batches - 1)`` files on, an equal
+    share of them, rounded up, cuts any number into just so many batches.
+    """
+    least = max(FILES, batches * (batches - 1))
+    rows = D.table(spark, sf, "documents").count()
+    write_raw(D.raw_documents(spark, sf), path, max(1, rows // least))
+    return max(1, math.ceil(len(names(spark, path, "part-")) / batches))
 
 
 def stream_ingest(spark, sf):
@@ -58,10 +74,10 @@ def stream_resume(spark, sf):
 def stream_batches(spark, sf):
     """How the admission limit cuts one delivery into batches, from the query's own progress."""
     root = run_dir(spark, "stream")
-    _land(D.raw_documents(spark, sf), f"{root}/landing", FILES)
+    files_per_batch = _land_for(spark, sf, f"{root}/landing", FILES // FILES_PER_BATCH)
     query = ingest_landed(
         spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
-        files_per_batch=FILES_PER_BATCH,
+        files_per_batch=files_per_batch,
     )
     filled = progress_rows(spark, query).filter("input_rows > 0")
     return filled.agg(
@@ -72,12 +88,13 @@ def stream_batches(spark, sf):
 def stream_progress(spark, sf):
     """Progress of more batches than Spark remembers."""
     root, limit = run_dir(spark, "stream"), "spark.sql.streaming.numRecentProgressUpdates"
-    _land(D.raw_documents(spark, sf), f"{root}/landing", 2 * FILES)
+    files_per_batch = _land_for(spark, sf, f"{root}/landing", 2 * FILES)
     before = spark.conf.get(limit)
     spark.conf.set(limit, "3")
     try:
         query = ingest_landed(
-            spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW, files_per_batch=1,
+            spark, f"{root}/landing", f"{root}/mail", f"{root}/checkpoint", D.CUTOFF, D.ALLOW,
+            files_per_batch=files_per_batch,
         )
     finally:
         spark.conf.set(limit, before)

@@ -22,6 +22,9 @@ def read_raw(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame
     return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
-def write_raw(raw: DataFrame, path: str) -> None:
-    """Land raw messages, one JSON object per line."""
-    raw.select(*RAW.fieldNames()).write.mode("append").json(path)
+def write_raw(raw: DataFrame, path: str, file_rows: int = 0) -> None:
+    """Land raw messages, one JSON object per line.
+
+    Every task writes its own rows, in files of ``file_rows`` at most if that is given.
+    """
+    raw.select(*RAW.fieldNames()).write.mode("append").option("maxRecordsPerFile", file_rows).json(path)
